@@ -31,11 +31,11 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """df as a table in the shared folder: it cuts the lineage and outlives executors."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/tables/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").parquet(path, partitionBy=by)
     return spark.read.parquet(path)
 
 

@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, keyed, written
+from .common import ascii_lower, documents, keyed, written
 
 BLOCK_BYTES = 1024
 POSITIONS = 2**31
@@ -55,6 +55,20 @@ def identities(texts: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
         level, k = written(_named(pairs, "a", "b"), "pairs"), k + 1
 
 
+def _groups(rows: DataFrame, block_bytes: int) -> DataFrame:
+    """(doc_id, uid, text) to one row each: doc_id, uid, keep_id, group_size, kept, text_sha256, n_bytes."""
+    base = rows.select("doc_id", "uid", F.coalesce(ascii_lower(F.col("text")), F.lit("")).alias("text"))
+    facts = base.select("doc_id", "uid", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"), F.octet_length("text").cast("long").alias("n_bytes"))
+    members = written(facts.join(identities(base, block_bytes), "uid"), "members")
+    groups = members.groupBy("level", "name").agg(
+        F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"), F.max(F.struct("doc_id", "uid"))["uid"].alias("keep_uid")
+    )
+    # a written side leaves the join's hot keys free to be split
+    return members.join(written(groups, "groups"), ["level", "name"]).select(
+        "doc_id", "uid", "keep_id", "group_size", (F.col("uid") == F.col("keep_uid")).alias("kept"), "text_sha256", "n_bytes"
+    )
+
+
 def exact_groups(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256, n_bytes.
 
@@ -63,32 +77,17 @@ def exact_groups(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     empty and so form one group with empty ones. Rows with a null doc_id are kept only where a group has no
     other. Other columns are ignored; an empty table gives an empty result.
     """
-    base = keyed(docs, "text").select("doc_id", "uid", F.coalesce(ascii_lower(F.col("text")), F.lit("")).alias("text"))
-    facts = base.select("doc_id", "uid", F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"), F.octet_length("text").cast("long").alias("n_bytes"))
-    members = facts.join(identities(base, block_bytes), "uid")
-    groups = members.groupBy("level", "name").agg(
-        F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"), F.max(F.struct("doc_id", "uid"))["uid"].alias("keep_uid")
-    )
-    return members.join(groups, ["level", "name"]).select(
-        "doc_id", "keep_id", "group_size", (F.col("uid") == F.col("keep_uid")).alias("kept"), "text_sha256", "n_bytes"
-    )
+    return _groups(keyed(docs, "text"), block_bytes).drop("uid")
 
 
-def without_copies(docs: DataFrame) -> DataFrame:
-    """docs without the rows that exact_groups drops; columns unchanged. Rows that share doc_id and text leave one."""
-    sha = F.sha2(F.coalesce(ascii_lower(F.col("text")), F.lit("")).cast("binary"), 256)
-    kept = exact_groups(docs).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"), F.col("group_size").alias("_n"))
-    rows = docs.withColumn("_of", sha)
-    same = rows["doc_id"].eqNullSafe(kept["_id"]) & (rows["_of"] == kept["_sha"])
-    out = rows.join(kept, same)
-    alone = out.where("_n = 1")
-    shared = out.where("_n > 1").dropDuplicates(["_id", "_sha"])
-    return alone.unionByName(shared).select(*docs.columns)
+def without_copies(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """docs without the rows that exact_groups drops; columns unchanged."""
+    rows = keyed(docs, *[c for c in docs.columns if c != "doc_id"])
+    kept = _groups(rows.select("doc_id", "uid", "text"), block_bytes).where("kept").select("uid")
+    return rows.join(kept, "uid", "left_semi").select(*docs.columns)
 
 
 def op8_exact_dedup(spark, sf_dir):
-    from .common import documents
-
     return exact_groups(documents(spark, sf_dir))
 
 

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, mixing
+from . import exact_dedup, lm_scoring, mixing, pieces, quality_classifier, quality_rules
 
 
 def queries() -> dict:
     return {
+        "op3_quality_classifier": quality_classifier.op3_quality_classifier,
         "op4_source_mixing": mixing.op4_source_mixing,
+        "op7_quality_rules": quality_rules.op7_quality_rules,
         "op8_exact_dedup": exact_dedup.op8_exact_dedup,
+        "op9_sentencepiece": pieces.op9_sentencepiece,
+        "op10_lm_scoring": lm_scoring.op10_lm_scoring,
     }
 
 
