@@ -5,6 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import numpy as np
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +24,19 @@ def ascii_lower(text: Column) -> Column:
     return F.when(F.length(text) == F.octet_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, UPPER.lower()))
 
 
+def small(batches, rows: int = 256, size: int = 2**20, column: str = "text"):
+    """Arrow batches cut into pieces of at most `rows` rows that end once the column has `size` bytes, so that
+    what a task holds follows `size` or the longest row, and not the batch."""
+    for batch in batches:
+        lens = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        ends, start = np.cumsum(lens), 0
+        while start < len(lens):
+            full = int(np.searchsorted(ends, (ends[start - 1] if start else 0) + size)) + 1
+            stop = min(start + rows, full, len(lens))
+            yield batch.slice(start, stop - start)
+            start = stop
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder, or a temporary one where none is set (tests)."""
     folder = spark.conf.get("spark.checkpoint.dir", "")

@@ -22,7 +22,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import documents
+from .common import documents, small
 
 MARK = "▁"
 SPACE = 0xFF  # stands for a space; never in UTF-8
@@ -212,7 +212,7 @@ def automaton(model: str) -> Automaton:
 def _encoded(model: str):
     def run(batches):
         a = automaton(model)
-        for batch in batches:
+        for batch in small(batches, 1024, 2**22):
             texts = [x or b"" for x in batch.column("text").cast(pa.binary()).to_pylist()]
             ids, ends = a.encode(texts)
             lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids))
@@ -252,7 +252,7 @@ def decoded(rows: DataFrame, model: str | None = None, keep: tuple[str, ...] = (
 def _round_trip(model: str):
     def run(batches):
         a = automaton(model)
-        for batch in batches:
+        for batch in small(batches, 1024, 2**22):
             texts = [x or b"" for x in batch.column("text").cast(pa.binary()).to_pylist()]
             ids, ends = a.encode(texts)
             back, at = a.decode(ids).tobytes(), np.concatenate([[0], np.cumsum(np.diff(a.piece_at)[ids])])[ends]

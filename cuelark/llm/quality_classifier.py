@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents
+from .common import documents, small
 
 CHUNK, STEP = 512, 448
 FILTERS, WIDTH, HIDDEN = 16, 6, 16
@@ -145,7 +145,7 @@ class Network:
 
 
 def _sampled_chunks(batches):
-    for batch in batches:
+    for batch in small(batches):
         texts = batch.column("text").cast(pa.binary()).to_pylist()
         made = [chunks_of(x or b"", TRAIN_CHUNKS).tobytes() for x in texts]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("quality"), pa.array(made, pa.binary())], ["doc_id", "quality", "chunks"])
@@ -176,7 +176,7 @@ def scored(docs: DataFrame, net: Network) -> DataFrame:
 
     def run(batches):
         tables = net.tables()
-        for batch in batches:
+        for batch in small(batches, 1024, 2**21):
             texts = [x or b"" for x in batch.column("text").cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(net.score(texts, tables))], ["doc_id", "score"])
 

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents
+from .common import documents, small
 
 BUCKETS = 2**16
 THRESHOLD = -0.25
@@ -59,7 +59,7 @@ def buckets(buffer: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 def _counted(batches):
     total = np.zeros(BUCKETS, np.int64)
-    for batch in batches:
+    for batch in small(batches):
         buffer, ends, _ = raw_bytes(batch.column("text"))
         gram, inside = buckets(buffer, ends)
         total += np.bincount(gram[inside], minlength=BUCKETS)
@@ -110,7 +110,7 @@ def repeated_words(rows: list[list[bytes]]) -> np.ndarray:
 
 def _ruled(ratio: np.ndarray, threshold: float):
     def run(batches):
-        for batch in batches:
+        for batch in small(batches):
             buffer, ends, rows = raw_bytes(batch.column("text"))
             words = [x.split() for x in rows]
             n_words = np.array([len(x) for x in words], np.int64)
@@ -157,9 +157,9 @@ def _only_kept(ratio: np.ndarray, threshold: float, columns: list[str]):
     rule = _ruled(ratio, threshold)
 
     def run(batches):
-        for batch in batches:
+        for batch in small(batches):
             texts = pa.RecordBatch.from_arrays([batch.column(columns.index("text"))], ["text"])
-            kept = next(rule(iter([texts]))).column("kept")
+            kept = pa.concat_arrays([x.column("kept") for x in rule([texts])])
             yield batch.filter(kept)
 
     return run

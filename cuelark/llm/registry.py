@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, lm_scoring, mixing, pieces, quality_classifier, quality_rules
+from . import exact_dedup, lm_scoring, mixing, near_dedup, pieces, quality_classifier, quality_rules
 
 
 def queries() -> dict:
     return {
+        "op1_minhash_near_dedup": near_dedup.op1_minhash_near_dedup,
         "op3_quality_classifier": quality_classifier.op3_quality_classifier,
         "op4_source_mixing": mixing.op4_source_mixing,
         "op7_quality_rules": quality_rules.op7_quality_rules,
