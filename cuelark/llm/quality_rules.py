@@ -137,7 +137,7 @@ def _ruled(ratio: np.ndarray, threshold: float):
 def log_ratio(docs: DataFrame, labels: DataFrame) -> np.ndarray:
     """log(trusted / raw) for each bucket; zeros where no document is labelled good."""
     good = labels.where("quality = 1").select("doc_id")
-    trusted = multinomial(docs.join(good, "doc_id", "left_semi"))
+    trusted = multinomial(docs.join(good.hint("merge"), "doc_id", "left_semi"))  # neither side has a bound
     return np.log(trusted / multinomial(docs)).astype(np.float32) if np.ptp(trusted) else np.zeros(BUCKETS, np.float32)
 
 
