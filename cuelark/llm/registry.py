@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, lm_scoring, mixing, near_dedup, pieces, quality_classifier, quality_rules
+from . import exact_dedup, licenses, lm_scoring, mixing, near_dedup, pieces, quality_classifier, quality_rules, sentence_spans
 
 
 def queries() -> dict:
     return {
         "op1_minhash_near_dedup": near_dedup.op1_minhash_near_dedup,
+        "op2_license_scan": licenses.op2_license_scan,
         "op3_quality_classifier": quality_classifier.op3_quality_classifier,
         "op4_source_mixing": mixing.op4_source_mixing,
+        "op5_substring_dedup": sentence_spans.op5_substring_dedup,
         "op7_quality_rules": quality_rules.op7_quality_rules,
         "op8_exact_dedup": exact_dedup.op8_exact_dedup,
         "op9_sentencepiece": pieces.op9_sentencepiece,
@@ -19,6 +21,7 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_license_scan": licenses.SQL,
         "op4_source_mixing": mixing.SQL,
         "op8_exact_dedup": exact_dedup.SQL,
     }
