@@ -2,10 +2,10 @@
 
 Words are runs of letters and digits, lower-cased. A text's word pairs are cut into windows of WINDOW pairs that
 move by STEP, and so are the templates'. Each window has BANDS minima, one for each mask that is XORed into the
-64-bit hashes of its pairs; every minimum is a band of its own. A window of a text that equals half of a
-template's window or more shares a given band with a chance of at least 1/2, so that all BANDS fail with a
-chance of 2**-BANDS at most; a notice of WINDOW / 2 pairs lies whole in some window and has that share, and longer
-ones have it in many windows. The templates' minima are a bounded table, as the list of templates is a parameter.
+64-bit hashes of its pairs; every minimum is a band of its own. A notice of four pairs, the shortest here, lies
+whole in some window, which shares a given band with it with a chance of 4/6, so that all BANDS fail with
+a chance of 3**-BANDS (0.02 %) at most; longer ones have such shares in several windows. The templates'
+minima are a bounded table, as the list of templates is a parameter.
 
 What a band retrieves is verified exactly: of the template's shingles of five words (all of it, if it has fewer)
 CONTAINMENT or more must occur in the text.
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from .common import documents
 
-WINDOW, STEP, BANDS = 8, 4, 12
+WINDOW, STEP, BANDS = 6, 3, 8
 SHINGLE, CONTAINMENT = 5, 0.8
 #: License notices, as their licenses recommend or as they are commonly written.
 TEMPLATES = {
@@ -54,10 +54,15 @@ def _pairs(words: Column) -> Column:
     return F.when(F.size(words) >= 2, one).otherwise(F.array().cast("array<bigint>"))
 
 
-def _minima(pairs: Column, mask: int) -> Column:
-    at = F.sequence(F.lit(0), F.greatest(F.size(pairs) - 1, F.lit(0)), F.lit(STEP))
-    low = lambda s: F.array_min(F.transform(F.slice(pairs, s + 1, WINDOW), lambda x: x.bitwiseXOR(F.lit(mask))))
-    return F.when(F.size(pairs) > 0, F.transform(at, low)).otherwise(F.array().cast("array<bigint>"))
+def _masked(pairs: Column) -> Column:
+    return F.array(*[F.transform(pairs, lambda x, m=m: x.bitwiseXOR(F.lit(m))) for m in MASKS])
+
+
+def _minima(masked: Column) -> Column:
+    """The minima of all windows, from the pairs under one mask."""
+    at = F.sequence(F.lit(0), F.size(masked) - 1, F.lit(STEP))
+    low = F.transform(at, lambda s: F.array_min(F.slice(masked, s + 1, WINDOW)))
+    return F.when(F.size(masked) > 0, low).otherwise(F.array().cast("array<bigint>"))
 
 
 def _shingles(words: Column) -> Column:
@@ -69,8 +74,8 @@ def _shingles(words: Column) -> Column:
 def _templates(spark, templates: dict[str, str]) -> DataFrame:
     """(template, band, minimum, shingles): BANDS rows for each window of each template."""
     t = spark.createDataFrame(sorted(templates.items()), "template string, notice string").withColumn("words", _words(F.col("notice")))
-    t = t.select("template", _pairs(F.col("words")).alias("pairs"), _shingles(F.col("words")).alias("shingles"))
-    band = lambda i: F.transform(_minima(F.col("pairs"), MASKS[i]), lambda m: F.struct(F.lit(i).alias("band"), m.alias("minimum")))
+    t = t.select("template", _masked(_pairs(F.col("words"))).alias("masked"), _shingles(F.col("words")).alias("shingles"))
+    band = lambda i: F.transform(_minima(F.col("masked")[i]), lambda m: F.struct(F.lit(i).alias("band"), m.alias("minimum")))
     return t.select("template", "shingles", F.inline(F.concat(*map(band, range(BANDS))))).distinct()
 
 
@@ -82,8 +87,9 @@ def license_matches(docs: DataFrame, templates: dict[str, str] | None = None, co
     """
     known = _templates(docs.sparkSession, templates or TEMPLATES)
     of_band = {r["band"]: r["minima"] for r in known.groupBy("band").agg(F.collect_set("minimum").alias("minima")).collect()}
-    hit = lambda i: F.transform(F.filter(_minima(F.col("pairs"), MASKS[i]), lambda m: m.isin(of_band[i])), lambda m: F.struct(F.lit(i).alias("band"), m.alias("minimum")))
+    hit = lambda i: F.transform(F.filter(_minima(F.col("masked")[i]), lambda m: m.isin(of_band[i])), lambda m: F.struct(F.lit(i).alias("band"), m.alias("minimum")))
     d = docs.select("doc_id", _once(_words(F.col("text"))).alias("words")).select("doc_id", "words", _once(_pairs(F.col("words"))).alias("pairs"))
+    d = d.select("doc_id", "words", _once(_masked(F.col("pairs"))).alias("masked"))
     d = d.select("doc_id", "words", _once(F.array_distinct(F.concat(*[hit(i) for i in sorted(of_band)]))).alias("hits")).where(F.size("hits") > 0)
     # templates are named within each document's row, so that repeated rows stay apart
     listed = known.groupBy("band", "minimum").agg(F.collect_set(F.struct("template", "shingles")).alias("t"))
