@@ -57,8 +57,8 @@ def written(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
 def keyed(docs: DataFrame, *columns: str) -> DataFrame:
     """doc_id, the columns, and `uid`, a number no other row has.
 
-    uid is doc_id itself where doc_ids are unique and none is null. Otherwise the rows are numbered and
-    written, so that every later read sees the same numbers.
+    uid is doc_id itself where doc_ids are unique and none is null. Otherwise the rows are numbered in the order
+    of doc_id and written, so that every later read sees the same numbers.
     """
     rows = docs.select("doc_id", *columns)
     ids = docs.agg(F.count(F.lit(1)).alias("n"), F.count("doc_id").alias("known"))
@@ -66,4 +66,4 @@ def keyed(docs: DataFrame, *columns: str) -> DataFrame:
     n = ids.first()
     if n["n"] == n["known"] and repeated.isEmpty():
         return rows.withColumn("uid", F.col("doc_id"))
-    return written(rows.withColumn("uid", F.monotonically_increasing_id()), "keyed")
+    return written(rows.orderBy("doc_id").withColumn("uid", F.monotonically_increasing_id()), "keyed")

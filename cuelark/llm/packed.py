@@ -36,11 +36,20 @@ class Entries(NamedTuple):
     state: np.ndarray
 
 
+def planes(x: np.ndarray) -> bytes:
+    """uint32 as low halves, then high halves, which are mostly equal and compress well."""
+    return np.ascontiguousarray(x.astype("<u4").view("<u2").reshape(-1, 2).T).tobytes()
+
+
+def unplaned(x: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(x, "<u2").reshape(2, -1).T).view("<u4").ravel()
+
+
 def buckets_for(n_docs: int) -> int:
     return max(BUCKETS, n_docs // DOCS_A_BUCKET)
 
 
-def _sent(extract: Callable[[list[bytes], np.ndarray], Entries], buckets: int, rows: int, size: int):
+def _sent(extract: Callable[[list[bytes], np.ndarray], Entries], buckets: int, rows: int, size: int, narrow: type):
     def run(batches):
         for batch in small(batches, rows, size):
             uid = batch.column("uid").to_numpy(zero_copy_only=False).astype(np.int64)
@@ -58,10 +67,10 @@ def _sent(extract: Callable[[list[bytes], np.ndarray], Entries], buckets: int, r
             kind = np.uint32 if len(uid) and uid.max() - low < 2**32 else np.int64
             head = np.array([low], np.int64).tobytes()
             edge = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            k, m, p = key[order] // np.uint64(buckets), more[order], place[order].astype(np.int32)
+            k, m, p = (key[order] // np.uint64(buckets)).astype(narrow), more[order], place[order].astype(np.int32)
             for b in np.flatnonzero(np.diff(edge)):
                 s = slice(edge[b], edge[b + 1])
-                out.append((int(b), k[s].tobytes(), m[s].tobytes(), head + off[s].astype(kind).tobytes(), p[s].tobytes(), b""))
+                out.append((int(b), k[s].tobytes(), m[s].tobytes(), head + (planes(off[s]) if kind is np.uint32 else off[s].tobytes()), planes(p[s]), b""))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x[0] for x in out], pa.int32()), pa.array([sub] * len(out), pa.int64()), *[pa.array([x[i] for x in out], pa.binary()) for i in range(1, 6)]],
                 schema=_SCHEMA,
@@ -74,14 +83,14 @@ def _decided(decide: Callable[..., np.ndarray], narrow: type):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         if rows.bucket.iloc[0] < 0:
             return rows[["sub", "doc", "place", "state"]]
-        key = np.concatenate([np.frombuffer(x, np.uint64) for x in rows.key])
-        more = np.concatenate([np.frombuffer(x, narrow) for x in rows.more]).astype(np.uint64)
-        place = np.concatenate([np.frombuffer(x, np.int32) for x in rows.place])
+        key = np.concatenate([np.frombuffer(x, narrow) for x in rows.key])
+        more = np.concatenate([np.frombuffer(x, np.uint64) for x in rows.more])
+        place = np.concatenate([unplaned(x) for x in rows.place]).astype(np.int32)
         sizes = np.array([len(x) // 4 for x in rows.place])
         doc = []
         for x, n in zip(rows.doc, sizes, strict=True):
-            kind = np.uint32 if len(x) == 8 + 4 * n else np.int64
-            doc.append(np.frombuffer(x[:8], np.int64)[0] + np.frombuffer(x[8:], kind).astype(np.int64))
+            off = unplaned(x[8:]) if len(x) == 8 + 4 * n else np.frombuffer(x[8:], np.int64)
+            doc.append(np.frombuffer(x[:8], np.int64)[0] + off.astype(np.int64))
         doc = np.concatenate(doc)
         state = decide(key, more, doc, place).astype(np.int8)
         out, ends = [], np.concatenate([[0], np.cumsum(sizes)])
@@ -111,8 +120,9 @@ def _by_document(rows: pd.DataFrame) -> pd.DataFrame:
 def resolved(texts: DataFrame, extract, decide, n_docs: int, rows: int = 2048, size: int = 2**22, narrow: type = np.uint64) -> DataFrame:
     """(uid, text) to (uid, hits, opens): the places that are HIT or OPEN, as sorted int32; documents without any are left out.
 
-    decide(key, more, uid, place) gets all unsettled entries of some keys. `more` is sent as it comes from extract.
+    decide(key, more, uid, place) gets all unsettled entries of some keys. Keys are sent as `narrow`, so that with
+    32 bits a few different ones meet (a bucket holds the keys of DOCS_A_BUCKET documents at every size).
     """
-    sent = texts.select("uid", "text").mapInArrow(_sent(extract, buckets_for(n_docs), rows, size), SENT)
+    sent = texts.select("uid", "text").mapInArrow(_sent(extract, buckets_for(n_docs), rows, size, narrow), SENT)
     back = sent.groupBy("bucket").applyInPandas(_decided(decide, narrow), "sub long, doc binary, place binary, state binary")
     return back.groupBy("sub").applyInPandas(_by_document, "uid long, hits binary, opens binary")

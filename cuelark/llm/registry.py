@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, licenses, lm_scoring, mixing, near_dedup, pieces, quality_classifier, quality_rules, sentence_spans
+from . import exact_dedup, licenses, lm_scoring, mixing, near_dedup, pieces, quality_classifier, quality_rules, sentence_spans, suffixes
 
 
 def queries() -> dict:
@@ -12,6 +12,7 @@ def queries() -> dict:
         "op3_quality_classifier": quality_classifier.op3_quality_classifier,
         "op4_source_mixing": mixing.op4_source_mixing,
         "op5_substring_dedup": sentence_spans.op5_substring_dedup,
+        "op6_suffix_array_dedup": suffixes.op6_suffix_array_dedup,
         "op7_quality_rules": quality_rules.op7_quality_rules,
         "op8_exact_dedup": exact_dedup.op8_exact_dedup,
         "op9_sentencepiece": pieces.op9_sentencepiece,
