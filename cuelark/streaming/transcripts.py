@@ -78,7 +78,7 @@ class Sessions(StatefulProcessor):
         for r in pd.concat(list(rows)).sort_values("arrival", kind="stable").itertuples(index=False):
             s, made = step(s, r, self.partial_seconds)
             out += [(key[0], r.arrival, *m) for m in made]
-        for t in self.handle.listTimers():
+        for t in list(self.handle.listTimers()) if self.idle_ms > 0 else []:
             self.handle.deleteTimer(t)
         if s is None:
             self.kept.clear()
@@ -131,8 +131,9 @@ def step(s: dict | None, r, partial_seconds: float) -> tuple[dict | None, list[t
 
 
 def session_stream(events: DataFrame, idle_ms: int = IDLE_MS) -> DataFrame:
-    """A stream of SESSION_EVENT rows to a stream of SESSION_OUT rows."""
-    return events.groupBy("session_id").transformWithStateInPandas(Sessions(idle_ms), outputStructType=SESSION_OUT, outputMode="Append", timeMode="ProcessingTime")
+    """A stream of SESSION_EVENT rows to a stream of SESSION_OUT rows; without timers where idle_ms is 0."""
+    mode = "ProcessingTime" if idle_ms > 0 else "None"
+    return events.groupBy("session_id").transformWithStateInPandas(Sessions(idle_ms), outputStructType=SESSION_OUT, outputMode="Append", timeMode=mode)
 
 
 def chunk_results_as_events(chunks: DataFrame) -> DataFrame:
