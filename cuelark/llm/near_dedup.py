@@ -10,13 +10,15 @@ union are maxima of registers, and two sets agree in one with a chance close to
    with a chance of (1 - similarity**ROWS)**BANDS, 8e-11 at 0.85 and 3e-8 at 0.8.
 3. A bucket's members are not paired with each other. Each is paired with the bucket's hub, the member that
    shares buckets with the most others (the text that copies were made from), and then, as far as the two are not
-   yet in one component, with its NEAR neighbours in the order of the registers behind the band.
+   yet in one component, with its NEAR neighbours in the order of the registers behind the band, in two orders. Buckets
+   of up to NEAR + 1 members are so compared in full; of larger ones, a document that is like neither the hub nor any
+   near neighbour in any of its bands, but like another member, would be missed.
 4. A pair's similarity is estimated by maximum likelihood from all registers jointly (greater, less, equal) and
    the sizes; pairs that lie over five standard deviations below the limit go. The others are verified on
    their full sets.
 5. Components of the verified links come from label propagation with pointer jumping.
 
-A bucket of k members costs k * (1 + NEAR) pairs at most. Hot buckets are counted with map-side combining, joined
+A bucket of k members costs k * (1 + 2 * NEAR) pairs at most. Hot buckets are counted with map-side combining, joined
 from written tables, whose hot keys adaptive execution splits, and ordered by range partitioning.
 """
 
@@ -32,7 +34,7 @@ from .common import documents, keyed, small, written
 
 BANDS, ROWS = 32, 4
 A, B, Q = 20.0, 1.001, 2**16 - 2
-NEAR = 4
+NEAR = 16
 AFTER = 8  # registers behind a band that order its buckets
 AT_ONCE, BYTES_AT_ONCE = 1024, 2**22
 WORDS, SIMILARITY = 5, 80  # words of a shingle, per cent
@@ -141,18 +143,20 @@ def _banded(batches):
 
 
 def _neighbours(batches):
-    """Entries in the order of band, bucket and register to pairs of entries of one bucket at most NEAR apart."""
-    tail: list[tuple] = []
+    """Entries in the order of band, bucket and registers to pairs of entries of one bucket, at most NEAR apart and of different components."""
+    tail = None
     for batch in batches:
-        rows = [*tail, *zip(*(batch.column(c).to_pylist() for c in ("band", "key", "uid", "label")), strict=True)]
-        fresh, a, b = len(tail), [], []
-        for i in range(fresh, len(rows)):
-            for j in range(max(0, i - NEAR), i):
-                if rows[j][:2] == rows[i][:2] and rows[j][3] != rows[i][3]:
-                    a.append(min(rows[i][2], rows[j][2]))
-                    b.append(max(rows[i][2], rows[j][2]))
-        tail = rows[-NEAR:]
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+        now = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("band", "key", "uid", "label")]
+        band, key, uid, label = now if tail is None else [np.concatenate(x) for x in zip(tail, now, strict=True)]
+        fresh, pairs = len(band) - len(batch), []
+        for d in range(1, min(NEAR, len(band) - 1) + 1):
+            y = np.arange(max(fresh, d), len(band))
+            x = y - d
+            at = (band[x] == band[y]) & (key[x] == key[y]) & (label[x] != label[y])
+            pairs.append(np.stack([uid[x[at]], uid[y[at]]]))
+        tail = [c[-NEAR:] for c in (band, key, uid, label)]
+        both = np.unique(np.sort(np.concatenate(pairs, axis=1), axis=0), axis=1) if pairs else np.zeros((2, 0), np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(both[0], pa.int64()), pa.array(both[1], pa.int64())], ["a", "b"])
 
 
 def _set_of(words: int):
@@ -238,11 +242,12 @@ def classes(rows: DataFrame, words: int, similarity: int) -> DataFrame:
         return rest.join(side(sets, "a", *full), "a").join(side(sets, "b", *full), "b").mapInArrow(_linked(similarity), "a long, b long")
 
     links = written(confirmed(near), "links")
-    members = _labelled(entries.select("uid", "band", "key", "after"), links)
-    order = ["band", "key", "after", "uid"]
-    members = members.repartitionByRange(*order).sortWithinPartitions(*order)
-    more = members.select("band", "key", "uid", "label").mapInArrow(_neighbours, "a long, b long").distinct()
-    links = links.unionByName(written(confirmed(more), "links"))
+    after = F.reverse(F.split(F.hex("after"), "(?<=\\G.{4})"))  # the last register first
+    for order in (["band", "key", "after", "uid"], ["band", "key", "reverse", "uid"]):
+        members = _labelled(entries.select("uid", "band", "key", "after", F.array_join(after, "").alias("reverse")), links)
+        members = members.repartitionByRange(*order).sortWithinPartitions(*order)
+        more = members.select("band", "key", "uid", "label").mapInArrow(_neighbours, "a long, b long").distinct()
+        links = written(links.unionByName(confirmed(more)), "links")
     found = made.select("uid", *same).join(reps, same, "left").withColumn("rep", F.coalesce("rep", "uid"))
     found = found.join(components(links).withColumnRenamed("uid", "rep"), "rep", "left").select("uid", "n_shingles", F.coalesce("label", "rep").alias("label"))
     return rows.select("doc_id", "uid").join(found, "uid").select("doc_id", "uid", "n_shingles", "label")
