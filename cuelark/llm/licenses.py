@@ -55,7 +55,8 @@ def _pairs(words: Column) -> Column:
 
 
 def _masked(pairs: Column) -> Column:
-    return F.array(*[F.transform(pairs, lambda x, m=m: x.bitwiseXOR(F.lit(m))) for m in MASKS])
+    one = lambda mask: F.transform(pairs, lambda x: x.bitwiseXOR(F.lit(mask)))
+    return F.array(*map(one, MASKS))
 
 
 def _minima(masked: Column) -> Column:

@@ -30,7 +30,7 @@ def labelled(spark):
 def test_license_matches(spark):
     rows = [(1, "x y Licensed under the Apache License,\n Version 2.0. z"), (2, "released UNDER the mit license"), (3, "the license"), (4, None), (5, ""), (6, "word"), (7, "a " * 3000 + "This work is licensed under the GNU General Public License, version 3."), (8, "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and then something else")]
     got = {(r.doc_id, r.template) for r in licenses.license_matches(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert got == {(1, "Apache-2.0"), (2, "MIT"), (7, "GPL-3.0")} or got == {(1, "Apache-2.0"), (2, "MIT"), (7, "GPL-3.0"), (8, "MIT-grant")}
+    assert got == {(1, "Apache-2.0"), (2, "MIT"), (7, "GPL-3.0"), (8, "MIT-grant")}
     assert licenses.license_matches(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
@@ -110,7 +110,7 @@ def test_network_gradient():
 
 def test_mixing(docs):
     got = mixing.mixed(docs).collect()
-    assert got == mixing.mixed(docs.repartition(3)).collect() or sorted(got) == sorted(mixing.mixed(docs.repartition(3)).collect())
+    assert {(r.doc_id, r.taken) for r in got} == {(r.doc_id, r.taken) for r in mixing.mixed(docs.repartition(3)).collect()}
     by = collections.defaultdict(list)
     for r in got:
         by[r.source].append(r)
@@ -128,8 +128,9 @@ def test_mixing(docs):
 def test_targets_stop_at_three_times_a_source(spark):
     s = spark.createDataFrame([("a", 10), ("b", 1000), ("c", 90), (None, 100)], "source string, source_size long")
     got = {r.source: r.target for r in mixing.targets(s).collect()}
-    assert got["a"] == 30 and got["c"] == 1170 / 8 and got["b"] == 1170 / 8 * 2 or got["a"] == 30
-    assert abs(sum(got.values()) - 1200) < 1e-9 and got[None] <= 300 and got["c"] <= 270
+    # weights 5, 2, 1, 5: a stops at 30; the rest is shared 2 : 1 : 5, where None stops at 300
+    assert got == {"a": 30.0, None: 300.0, "b": 580.0, "c": 270.0} or (got["a"], got[None]) == (30, 300)
+    assert abs(sum(got.values()) - 1200) < 1e-9 and got["b"] <= 3000 and got["c"] <= 270
 
 
 def test_pieces_round_trip(docs):
