@@ -15,7 +15,18 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Spark's own limit for Arrow batches is 64 MB, of which a task holds several forms at once.
+BATCH_BYTES, BATCH_KEY, SPARKS_OWN = 2**22, "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+
+
+def bounded(spark: SparkSession) -> None:
+    """Limits Arrow batches to BATCH_BYTES in this session, where the limit is still Spark's own."""
+    if spark.conf.get(BATCH_KEY, SPARKS_OWN) == SPARKS_OWN:
+        spark.conf.set(BATCH_KEY, str(BATCH_BYTES))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bounded(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
@@ -49,6 +60,7 @@ def shared_folder(spark: SparkSession) -> str:
 def written(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """df as a table in the shared folder: it cuts the lineage and outlives executors."""
     spark = df.sparkSession
+    bounded(spark)
     path = f"{shared_folder(spark)}/tables/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path, partitionBy=by)
     return spark.read.parquet(path)
@@ -60,6 +72,7 @@ def keyed(docs: DataFrame, *columns: str) -> DataFrame:
     uid is doc_id itself where doc_ids are unique and none is null. Otherwise the rows are numbered in the order
     of doc_id and written, so that every later read sees the same numbers.
     """
+    bounded(docs.sparkSession)
     rows = docs.select("doc_id", *columns)
     ids = docs.agg(F.count(F.lit(1)).alias("n"), F.count("doc_id").alias("known"))
     repeated = docs.groupBy("doc_id").count().where("count > 1").limit(1)

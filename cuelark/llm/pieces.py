@@ -22,7 +22,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import documents, small
+from .common import bounded, documents, small
 
 MARK = "▁"
 SPACE = 0xFF  # stands for a space; never in UTF-8
@@ -227,6 +227,7 @@ def encoded(docs: DataFrame, model: str | None = None, keep: tuple[str, ...] = (
 
     A null text counts as empty and has no pieces; repeated rows are encoded alike; other columns are ignored.
     """
+    bounded(docs.sparkSession)
     kept = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
     return docs.select(*keep, "text").mapInArrow(_encoded(model or default_model()), f"{kept}, n_pieces long, ids array<int>")
 
@@ -245,6 +246,7 @@ def _decoded(model: str):
 
 def decoded(rows: DataFrame, model: str | None = None, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """rows with ids to the columns in `keep` and text. Null ids give null, no ids the empty text."""
+    bounded(rows.sparkSession)
     kept = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
     return rows.select(*keep, "ids").mapInArrow(_decoded(model or default_model()), f"{kept}, text string")
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, small
+from .common import bounded, documents, small
 
 CHUNK, STEP = 512, 448
 FILTERS, WIDTH, HIDDEN = 16, 6, 16
@@ -173,6 +173,7 @@ def scored(docs: DataFrame, net: Network) -> DataFrame:
     A null text counts as empty; an empty text is one chunk of zero bytes. Repeated rows score alike;
     other columns are ignored; an empty table gives an empty result.
     """
+    bounded(docs.sparkSession)
 
     def run(batches):
         tables = net.tables()

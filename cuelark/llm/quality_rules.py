@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, small
+from .common import bounded, documents, small
 
 BUCKETS = 2**16
 THRESHOLD = -0.25
@@ -69,6 +69,7 @@ def _counted(batches):
 
 def multinomial(docs: DataFrame) -> np.ndarray:
     """Smoothed shares of the buckets over every text; BUCKETS rows come to the driver."""
+    bounded(docs.sparkSession)
     rows = docs.select("text").mapInArrow(_counted, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()
     counts = np.full(BUCKETS, SMOOTHING)
     for r in rows:
