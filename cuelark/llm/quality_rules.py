@@ -18,7 +18,7 @@ from .common import bounded, documents, small
 
 BUCKETS = 2**16
 THRESHOLD = -0.25
-SMOOTHING = 0.5
+FLOOR = 0.01
 MIN_WORDS = 50
 AT_ONCE = 256  # documents whose words are numbered together
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -67,14 +67,14 @@ def _counted(batches):
     yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["bucket", "n"])
 
 
-def multinomial(docs: DataFrame) -> np.ndarray:
-    """Smoothed shares of the buckets over every text; BUCKETS rows come to the driver."""
+def counts(docs: DataFrame) -> np.ndarray:
+    """How often each bucket occurs in every text; BUCKETS rows come to the driver."""
     bounded(docs.sparkSession)
     rows = docs.select("text").mapInArrow(_counted, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()
-    counts = np.full(BUCKETS, SMOOTHING)
+    out = np.zeros(BUCKETS)
     for r in rows:
-        counts[r["bucket"]] += r["n"]
-    return counts / counts.sum()
+        out[r["bucket"]] = r["n"]
+    return out
 
 
 def repeated_words(rows: list[list[bytes]]) -> np.ndarray:
@@ -136,10 +136,17 @@ def _ruled(ratio: np.ndarray, threshold: float):
 
 
 def log_ratio(docs: DataFrame, labels: DataFrame) -> np.ndarray:
-    """log(trusted / raw) for each bucket; zeros where no document is labelled good."""
+    """log(trusted / raw) for each bucket, trusted being mixed with FLOOR parts of raw, so that corpora of any size
+    are smoothed alike; zeros where no document is labelled good."""
     good = labels.where("quality = 1").select("doc_id")
-    trusted = multinomial(docs.join(good.hint("merge"), "doc_id", "left_semi"))  # neither side has a bound
-    return np.log(trusted / multinomial(docs)).astype(np.float32) if np.ptp(trusted) else np.zeros(BUCKETS, np.float32)
+    trusted = counts(docs.join(good.hint("merge"), "doc_id", "left_semi"))  # neither side has a bound
+    raw = counts(docs)
+    out = np.zeros(BUCKETS, np.float32)
+    seen = raw > 0
+    if trusted.any():
+        share = (trusted[seen] / trusted.sum()) / (raw[seen] / raw.sum())
+        out[seen] = np.log((share + FLOOR) / (1 + FLOOR))
+    return out
 
 
 def judged(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
