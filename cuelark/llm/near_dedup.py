@@ -14,7 +14,7 @@ union are maxima of registers, and two sets agree in one with a chance close to
    of up to NEAR + 1 members are so compared in full; of larger ones, a document that is like neither the hub nor any
    near neighbour in any of its bands, but like another member, would be missed.
 4. A pair's similarity is estimated by maximum likelihood from all registers jointly (greater, less, equal) and
-   the sizes; pairs that lie over five standard deviations below the limit go. The others are verified on
+   the sizes; pairs that lie over four standard deviations below the limit go. The others are verified on
    their full sets.
 5. Components of the verified links come from label propagation with pointer jumping.
 
@@ -142,21 +142,37 @@ def _banded(batches):
             )
 
 
-def _neighbours(batches):
-    """Entries in the order of band, bucket and registers to pairs of entries of one bucket, at most NEAR apart and of different components."""
-    tail = None
-    for batch in batches:
-        now = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("band", "key", "uid", "label")]
-        band, key, uid, label = now if tail is None else [np.concatenate(x) for x in zip(tail, now, strict=True)]
-        fresh, pairs = len(band) - len(batch), []
-        for d in range(1, min(NEAR, len(band) - 1) + 1):
-            y = np.arange(max(fresh, d), len(band))
-            x = y - d
-            at = (band[x] == band[y]) & (key[x] == key[y]) & (label[x] != label[y])
-            pairs.append(np.stack([uid[x[at]], uid[y[at]]]))
-        tail = [c[-NEAR:] for c in (band, key, uid, label)]
-        both = np.unique(np.sort(np.concatenate(pairs, axis=1), axis=0), axis=1) if pairs else np.zeros((2, 0), np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(both[0], pa.int64()), pa.array(both[1], pa.int64())], ["a", "b"])
+def _neighbours(similarity: int):
+    """Entries in the order of band, bucket and registers to likely pairs of entries of one bucket, at most NEAR apart
+    and of different components."""
+    columns = ("band", "key", "uid", "label", "n_shingles")
+
+    def run(batches):
+        tail = None
+        for batch in small(batches, 4096, BYTES_AT_ONCE, "reg"):
+            now = [batch.column(c).to_numpy(zero_copy_only=False) for c in columns]
+            now.append(np.frombuffer(b"".join(batch.column("reg").to_pylist()), np.uint16).reshape(-1, BANDS * ROWS))
+            band, key, uid, label, n, reg = now if tail is None else [np.concatenate(x) for x in zip(tail, now, strict=True)]
+            fresh, pairs = len(band) - len(batch), [np.zeros((2, 0), np.int64)]
+            for d in range(1, min(NEAR, len(band) - 1) + 1):
+                y = np.arange(max(fresh, d), len(band))
+                x = y - d
+                at = np.flatnonzero((band[x] == band[y]) & (key[x] == key[y]) & (label[x] != label[y]))
+                for k in range(0, len(at), 1024):
+                    i, j = x[at[k : k + 1024]], y[at[k : k + 1024]]
+                    good = estimate(reg[i], reg[j], n[i].astype(float), n[j].astype(float)) >= least_likely(similarity)
+                    pairs.append(np.stack([uid[i[good]], uid[j[good]]]))
+            tail = [c[-NEAR:] for c in (band, key, uid, label, n, reg)]
+            both = np.unique(np.sort(np.concatenate(pairs, axis=1), axis=0), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(both[0], pa.int64()), pa.array(both[1], pa.int64())], ["a", "b"])
+
+    return run
+
+
+def least_likely(similarity: int) -> float:
+    """The estimate below which a pair is dropped: four standard deviations under the limit, a chance of 3e-5."""
+    s = similarity / 100
+    return s - 4 * float(np.sqrt(s * (1 - s) / (BANDS * ROWS)))
 
 
 def _set_of(words: int):
@@ -169,7 +185,7 @@ def _set_of(words: int):
 
 
 def _likely(similarity: int):
-    low = similarity / 100 - 5 * np.sqrt(similarity / 100 * (1 - similarity / 100) / (BANDS * ROWS))
+    low = least_likely(similarity)
 
     def run(batches):
         for batch in batches:
@@ -245,8 +261,9 @@ def classes(rows: DataFrame, words: int, similarity: int) -> DataFrame:
     after = F.reverse(F.split(F.hex("after"), "(?<=\\G.{4})"))  # the last register first
     for order in (["band", "key", "after", "uid"], ["band", "key", "reverse", "uid"]):
         members = _labelled(entries.select("uid", "band", "key", "after", F.array_join(after, "").alias("reverse")), links)
+        members = members.join(sketch, "uid")
         members = members.repartitionByRange(*order).sortWithinPartitions(*order)
-        more = members.select("band", "key", "uid", "label").mapInArrow(_neighbours, "a long, b long").distinct()
+        more = members.select("band", "key", "uid", "label", "n_shingles", "reg").mapInArrow(_neighbours(similarity), "a long, b long").distinct()
         links = written(links.unionByName(confirmed(more)), "links")
     found = made.select("uid", *same).join(reps, same, "left").withColumn("rep", F.coalesce("rep", "uid"))
     found = found.join(components(links).withColumnRenamed("uid", "rep"), "rep", "left").select("uid", "n_shingles", F.coalesce("label", "rep").alias("label"))
