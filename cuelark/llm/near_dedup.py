@@ -11,14 +11,17 @@ union are maxima of registers, and two sets agree in one with a chance close to
 3. A bucket's members are not paired with each other. Each is paired with the bucket's hub, the member that
    shares buckets with the most others (the text that copies were made from), and then, as far as the two are not
    yet in one component, with its NEAR neighbours in the order of the registers behind the band, in two orders. Buckets
-   of up to NEAR + 1 members are so compared in full; of larger ones, a document that is like neither the hub nor any
-   near neighbour in any of its bands, but like another member, would be missed.
+   of up to NEAR + 1 members stay in one task and are so compared in full. Where members of a larger one are then still
+   in different components, these members go through a set-similarity join: two sets that reach the similarity share
+   one of the first shingles of both, taken in one order for all (rare ones first), so only documents that meet there are
+   paired, as far as sizes, places and registers allow. This finds what hub and neighbours leave.
 4. A pair's similarity is estimated by maximum likelihood from all registers jointly (greater, less, equal) and
    the sizes; pairs that lie over four standard deviations below the limit go. The others are verified on
    their full sets.
 5. Components of the verified links come from label propagation with pointer jumping.
 
-A bucket of k members costs k * (1 + 2 * NEAR) pairs at most. Hot buckets are counted with map-side combining, joined
+A bucket of k members costs k * (1 + 2 * NEAR) pairs at most before the join. A shingle that is among the first ones of
+many is dealt over pairs of blocks of about BLOCK documents. Hot buckets are counted with map-side combining, joined
 from written tables, whose hot keys adaptive execution splits, and ordered by range partitioning.
 """
 
@@ -35,6 +38,7 @@ from .common import documents, keyed, small, written
 BANDS, ROWS = 32, 4
 A, B, Q = 20.0, 1.001, 2**16 - 2
 NEAR = 16
+SLOTS, BLOCK = 2**20, 256  # the join: counters of shingles, documents of a block
 AFTER = 8  # registers behind a band that order its buckets
 AT_ONCE, BYTES_AT_ONCE = 1024, 2**22
 WORDS, SIMILARITY = 5, 80  # words of a shingle, per cent
@@ -184,6 +188,128 @@ def _set_of(words: int):
     return run
 
 
+def _slots(shingles: np.ndarray) -> np.ndarray:
+    return (shingles % np.uint64(SLOTS)).astype(np.int64)
+
+
+def _counters(totals: np.ndarray):
+    at = np.flatnonzero(totals)
+    for k in range(0, len(at), 65536):
+        yield pa.RecordBatch.from_arrays([pa.array(at[k : k + 65536]), pa.array(totals[at[k : k + 65536]])], ["slot", "n"])
+
+
+def _shingle_counters(batches):
+    totals = np.zeros(SLOTS, np.int64)
+    for batch in small(batches, AT_ONCE, BYTES_AT_ONCE, "shingles"):
+        totals += np.bincount(_slots(np.frombuffer(b"".join(batch.column("shingles").to_pylist()), np.uint64)), minlength=SLOTS)
+    yield from _counters(totals)
+
+
+def _table(counters: DataFrame) -> np.ndarray:
+    """(slot, n) summed up: SLOTS numbers, whatever the input."""
+    got = counters.groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(SLOTS, np.uint32)
+    out[got.column("slot").to_numpy()] = got.column("n").to_numpy()
+    return out
+
+
+def _first_shingles(shingles: np.ndarray, often: np.ndarray, similarity: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of a set the first shingles, rare ones first, one of which each set that reaches the similarity has among its own
+    first ones, and their places; those that no other document has are left out."""
+    f = often[_slots(shingles)]
+    order = np.lexsort((shingles, f))[: len(shingles) - (similarity * len(shingles) + 99) // 100 + 1]
+    place = np.flatnonzero(f[order] > 1)
+    return shingles[order[place]], place
+
+
+def _first_counters(often: np.ndarray, similarity: int):
+    def run(batches):
+        totals = np.zeros(SLOTS, np.int64)
+        for batch in small(batches, AT_ONCE, BYTES_AT_ONCE, "shingles"):
+            first = [_first_shingles(np.frombuffer(x, np.uint64), often, similarity)[0] for x in batch.column("shingles").to_pylist()]
+            totals += np.bincount(_slots(np.concatenate(first)) if first else [], minlength=SLOTS)
+        yield from _counters(totals)
+
+    return run
+
+
+_DEALT = "shingle long, one int, other int, block int, uid long, label long, n long, place int, low binary"
+
+
+def _dealt(often: np.ndarray, hot: np.ndarray, similarity: int):
+    """A document to an entry for each of its first shingles, or for each pair of blocks where a shingle is hot."""
+
+    def run(batches):
+        for batch in small(batches, AT_ONCE, BYTES_AT_ONCE, "shingles"):
+            uid, label, n = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("uid", "label", "n_shingles"))
+            first = [_first_shingles(np.frombuffer(x, np.uint64), often, similarity) for x in batch.column("shingles").to_pylist()]
+            low = [np.frombuffer(x, np.uint8)[::2].tobytes() for x in batch.column("reg").to_pylist()]
+            if not first:
+                continue
+            doc = np.repeat(np.arange(len(first)), [len(s) for s, _ in first])
+            shingle, place = (np.concatenate(x) for x in zip(*first, strict=True))
+            blocks = np.maximum(-(-hot[_slots(shingle)].astype(np.int64) // BLOCK), 1)
+            block = (mixed_bits(uid[doc].astype(np.uint64)) % blocks.astype(np.uint64)).astype(np.int64)
+            ends = np.cumsum(blocks)
+            for a in range(0, int(ends[-1]) if len(ends) else 0, 16384):
+                k = np.arange(a, min(a + 16384, ends[-1]))
+                i = np.searchsorted(ends, k, side="right")
+                with_, d = k - (ends[i] - blocks[i]), doc[i]
+                made = [np.minimum(block[i], with_), np.maximum(block[i], with_), block[i]]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(shingle[i].view(np.int64)), *[pa.array(x.astype(np.int32)) for x in made], pa.array(uid[d]), pa.array(label[d]),
+                        pa.array(n[d]), pa.array(place[i].astype(np.int32)), pa.array([low[x] for x in d], pa.binary()),
+                    ],
+                    [x.split()[0] for x in _DEALT.split(", ")],
+                )
+
+    return run
+
+
+def _met(similarity: int):
+    """Entries in the order of shingle and blocks to the pairs of different components that may reach the similarity."""
+    columns = ("shingle", "one", "other", "block", "uid", "label", "n", "place")
+
+    def run(batches):
+        tail = None
+        for batch in small(batches, 4096, BYTES_AT_ONCE, "low"):
+            now = [batch.column(c).to_numpy(zero_copy_only=False) for c in columns]
+            now.append(np.frombuffer(b"".join(batch.column("low").to_pylist()), np.uint8).reshape(-1, BANDS * ROWS))
+            rows = now if tail is None else [np.concatenate(x) for x in zip(tail, now, strict=True)]
+            shingle, one, other, block, uid, label, n, place, low = rows
+            fresh, pairs = len(uid) - len(batch), [np.zeros((2, 0), np.int64)]
+            new = np.ones(len(uid), bool)
+            new[1:] = (shingle[1:] != shingle[:-1]) | (one[1:] != one[:-1]) | (other[1:] != other[:-1])
+            start = np.maximum.accumulate(np.where(new, np.arange(len(uid)), 0))  # where a row's group begins
+            y = np.arange(fresh, len(uid))
+            d = 0
+            while len(y):
+                d += 1
+                y = y[y - d >= start[y]]
+                x = y - d
+                shared = -((-similarity * (n[x] + n[y])) // (100 + similarity))
+                ok = (label[x] != label[y]) & ((one[y] == other[y]) | (block[x] != block[y]))
+                ok &= (100 * np.minimum(n[x], n[y]) >= similarity * np.maximum(n[x], n[y])) & (np.minimum(n[x] - place[x], n[y] - place[y]) >= shared)
+                i, j = x[ok], y[ok]
+                good = (low[i] == low[j]).mean(1) >= least_likely(similarity)
+                pairs.append(np.stack([uid[i[good]], uid[j[good]]]))
+            tail = [c[start[-1] :] for c in rows] if len(uid) else None
+            both = np.unique(np.sort(np.concatenate(pairs, axis=1), axis=0), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(both[0], pa.int64()), pa.array(both[1], pa.int64())], ["a", "b"])
+
+    return run
+
+
+def joined_by_shingles(rows: DataFrame, similarity: int) -> DataFrame:
+    """(uid, label, n_shingles, reg, shingles) to the pairs (a, b) of different labels that may reach the similarity."""
+    often = _table(rows.mapInArrow(_shingle_counters, "slot long, n long"))
+    hot = _table(rows.mapInArrow(_first_counters(often, similarity), "slot long, n long"))
+    groups = ["shingle", "one", "other"]
+    dealt = rows.mapInArrow(_dealt(often, hot, similarity), _DEALT).repartition(*groups).sortWithinPartitions(*groups)
+    return dealt.mapInArrow(_met(similarity), "a long, b long").distinct()
+
+
 def _likely(similarity: int):
     low = least_likely(similarity)
 
@@ -227,9 +353,9 @@ def components(links: DataFrame, name: str = "labels") -> DataFrame:
         label = after.select("uid", "label")
 
 
-def _labelled(rows: DataFrame, links: DataFrame) -> DataFrame:
+def _labelled(rows: DataFrame, label: DataFrame) -> DataFrame:
     """rows (uid, ...) with the label of their component; without links it is uid itself."""
-    return rows.join(components(links), "uid", "left").withColumn("label", F.coalesce("label", "uid"))
+    return rows.join(label, "uid", "left").withColumn("label", F.coalesce("label", "uid"))
 
 
 def classes(rows: DataFrame, words: int, similarity: int) -> DataFrame:
@@ -260,13 +386,22 @@ def classes(rows: DataFrame, words: int, similarity: int) -> DataFrame:
     links = written(confirmed(near), "links")
     after = F.reverse(F.split(F.hex("after"), "(?<=\\G.{4})"))  # the last register first
     for order in (["band", "key", "after", "uid"], ["band", "key", "reverse", "uid"]):
-        members = _labelled(entries.select("uid", "band", "key", "after", F.array_join(after, "").alias("reverse")), links)
+        members = _labelled(entries.select("uid", "band", "key", "n", "after", F.array_join(after, "").alias("reverse")), components(links))
         members = members.join(sketch, "uid")
-        members = members.repartitionByRange(*order).sortWithinPartitions(*order)
+        crowd = F.col("n") > NEAR + 1  # others stay whole
+        members = members.repartitionByRange(*order[:2], *[F.when(crowd, F.col(c)) for c in order[2:]]).sortWithinPartitions(*order)
         more = members.select("band", "key", "uid", "label", "n_shingles", "reg").mapInArrow(_neighbours(similarity), "a long, b long").distinct()
         links = written(links.unionByName(confirmed(more)), "links")
+    label = components(links)
+    crowds = written(_labelled(entries.where(F.col("n") > NEAR + 1).select("uid", "band", "key"), label), "crowds")
+    open_ = crowds.groupBy("band", "key").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least < most")
+    rest = written(crowds.join(open_, ["band", "key"]).select("uid", "label").distinct().join(sketch, "uid").join(sets, "uid"), "open")
+    if not rest.isEmpty():
+        more = written(confirmed(joined_by_shingles(rest, similarity)), "links")
+        if not more.isEmpty():
+            label = components(links.unionByName(more))
     found = made.select("uid", *same).join(reps, same, "left").withColumn("rep", F.coalesce("rep", "uid"))
-    found = found.join(components(links).withColumnRenamed("uid", "rep"), "rep", "left").select("uid", "n_shingles", F.coalesce("label", "rep").alias("label"))
+    found = found.join(label.withColumnRenamed("uid", "rep"), "rep", "left").select("uid", "n_shingles", F.coalesce("label", "rep").alias("label"))
     return rows.select("doc_id", "uid").join(found, "uid").select("doc_id", "uid", "n_shingles", "label")
 
 
