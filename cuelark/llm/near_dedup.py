@@ -16,7 +16,7 @@ union are maxima of registers, and two sets agree in one with a chance close to
    one of the first shingles of both, taken in one order for all (rare ones first), so only documents that meet there are
    paired, as far as sizes, places and registers allow. This finds what hub and neighbours leave.
 4. A pair's similarity is estimated by maximum likelihood from all registers jointly (greater, less, equal) and
-   the sizes; pairs that lie over four standard deviations below the limit go. The others are verified on
+   the sizes; pairs go that lie so far below the limit that one at the limit does with a chance of 1e-6 at most. The others are verified on
    their full sets.
 5. Components of the verified links come from label propagation with pointer jumping.
 
@@ -27,6 +27,8 @@ from written tables, whose hot keys adaptive execution splits, and ordered by ra
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -174,9 +176,13 @@ def _neighbours(similarity: int):
 
 
 def least_likely(similarity: int) -> float:
-    """The estimate below which a pair is dropped: four standard deviations under the limit, a chance of 3e-5."""
-    s = similarity / 100
-    return s - 4 * float(np.sqrt(s * (1 - s) / (BANDS * ROWS)))
+    """The estimate below which a pair is dropped: so low that of pairs of one size at the limit, by the binomial tail of
+    equal registers, a share of 1e-6 at most lies below; the estimate's grid is allowed for."""
+    s, n, tail, equal = similarity / 100, BANDS * ROWS, 0.0, -1
+    while equal < n and tail + math.comb(n, equal + 1) * s ** (equal + 1) * (1 - s) ** (n - equal - 1) <= 1e-6:
+        equal += 1
+        tail += math.comb(n, equal) * s**equal * (1 - s) ** (n - equal)
+    return (equal + 1) / n - 0.01
 
 
 def _set_of(words: int):

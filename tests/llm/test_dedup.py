@@ -1,5 +1,6 @@
 import collections
 import hashlib
+import math
 import random
 import re
 
@@ -214,3 +215,17 @@ def test_shingle_join_of_blocks(spark, monkeypatch):
         monkeypatch.setattr(near_dedup, "BLOCK", block)
         got = {(x.a, x.b) for x in near_dedup.joined_by_shingles(df, 60).collect()}
         assert brute <= got
+
+
+@pytest.mark.parametrize("per_cent", [80, 85])
+def test_estimate_loses_next_to_no_pair_at_the_limit(per_cent):
+    n, s = near_dedup.BANDS * near_dedup.ROWS, per_cent / 100
+    tail = 0.0
+    for equal in range(n + 1):
+        greater = (n - equal) // 2
+        a = np.zeros((1, n), np.uint16)
+        b = np.zeros((1, n), np.uint16)
+        a[0, :greater], b[0, greater : n - equal] = 1, 1
+        if near_dedup.estimate(a, b, np.array([1000.0]), np.array([1000.0]))[0] < near_dedup.least_likely(per_cent):
+            tail += math.comb(n, equal) * s**equal * (1 - s) ** (n - equal)
+    assert 0 < tail <= 1e-6
