@@ -1,8 +1,10 @@
 """Substring dedup by sliding sentence spans.
 
-A text is cut into sentences, which end behind [.!?] and a space, or with a line. Sentences of over LONG
-words are cut further, behind every word whose CRC is a multiple of 8, so that a passage is cut alike wherever
-it stands. Every run of RUN consecutive sentences, lower-cased and with single spaces, is hashed to 128 bits and
+A text is cut into sentences, which end behind [.!?] and a space, or with a line. Sentences of over SPAN words are
+cut further, behind the word with the smallest CRC (the last such) of every SPAN consecutive words, so that no piece
+has more than SPAN words and a passage is cut alike wherever it stands, but for its first SPAN - 1 and last SPAN words. A
+passage of over 50 words so holds RUN whole pieces at least that are the same everywhere.
+Every run of RUN consecutive sentences, lower-cased and with single spaces, is hashed to 128 bits and
 looked up in the whole corpus. Its first occurrence, by (doc_id, place), stays; of every other occurrence all RUN
 sentences are removed. Sentences are judged on the input, not on what is left.
 """
@@ -23,27 +25,28 @@ from .near_dedup import mixed_bits
 from .packed import HIT, Entries, resolved
 
 RUN = 3
-LONG = 20
+SPAN = 8
 _END = re.compile(rb"[.!?]+(?=[\x20\x09-\x0d])[\x20\x09-\x0d]*|\n\s*")
+_SPACE = b" \t\n\v\f\r"
 _WORD = re.compile(rb"[^\x20\x09-\x0d]+[\x20\x09-\x0d]*")
 
 
 def sentence_ends(text: bytes) -> list[int]:
     """Where each sentence ends, with the space behind it; the last ends with the text. Together they cover it."""
-    ends, start = [], 0
-    for e in [m.end() for m in _END.finditer(text)] + [len(text)]:
-        if e == start:
-            continue
-        part = text[start:e]
-        if part.count(b" ") >= LONG:
-            at = start
-            for w in _WORD.findall(part):
-                at += len(w)
-                if zlib.crc32(w.rstrip().lower()) % 8 == 0 and at < e:
-                    ends.append(at)
-        ends.append(e)
-        start = e
-    return ends
+    if not text:
+        return []
+    ends = np.unique([m.end() for m in _END.finditer(text)] + [len(text)])
+    words = _WORD.findall(text)
+    if len(words) <= SPAN:
+        return ends.tolist()
+    start = len(text) - len(text.lstrip(_SPACE))
+    behind = start + np.cumsum([len(w) for w in words])
+    of = np.searchsorted(ends, behind)  # each word's sentence
+    crc = np.array([zlib.crc32(w.rstrip(_SPACE).lower()) for w in words], np.int64)
+    windows = np.lib.stride_tricks.sliding_window_view(crc, SPAN)
+    least = np.arange(len(windows)) + SPAN - 1 - windows[:, ::-1].argmin(1)
+    within = (of[: len(windows)] == of[SPAN - 1 :]) & (np.bincount(of)[of[: len(windows)]] > SPAN)
+    return np.union1d(ends, behind[least[within]]).tolist()
 
 
 def _hashes(texts: list[bytes], k: int = RUN):

@@ -229,3 +229,21 @@ def test_estimate_loses_next_to_no_pair_at_the_limit(per_cent):
         if near_dedup.estimate(a, b, np.array([1000.0]), np.array([1000.0]))[0] < near_dedup.least_likely(per_cent):
             tail += math.comb(n, equal) * s**equal * (1 - s) ** (n - equal)
     assert 0 < tail <= 1e-6
+
+
+def test_passages_of_51_words_in_running_text(spark):
+    """Each passage stands in two foreign contexts without punctuation, or with long sentences; all are found."""
+    r = random.Random(51)
+    some = lambda n, stop: " ".join(r.choice("abcdefgh") * 2 + str(r.randrange(5000)) + (stop if k % 23 == 22 else "") for k in range(n))
+    rows = []
+    for i in range(400):
+        stop = ["", "."][i % 2]
+        passage = some(51, stop)
+        rows += [(2 * i, f"{some(r.randrange(40), stop)} {passage} {some(r.randrange(40), stop)}".strip(), None, None, 0)]
+        rows += [(2 * i + 1, f"{some(r.randrange(40), stop)} {passage} {some(r.randrange(40), stop)}".strip(), None, None, 0)]
+    got = {x.doc_id: x for x in sentence_spans.without_repeats(spark.createDataFrame(rows, DOCS)).collect()}
+    assert [i for i in got if i % 2 and got[i].n_removed == 0] == []
+    assert sum(got[i].n_removed for i in got if i % 2 == 0) == 0
+    for _, text, *_ in rows:
+        at = [0, *sentence_spans.sentence_ends(text.encode())]
+        assert max(len(text.encode()[a:b].split()) for a, b in zip(at, at[1:])) <= 8
