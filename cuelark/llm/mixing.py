@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, documents, written
+from .common import WORD, documents, keyed, written
 
 WEIGHTS = (5, 2, 1)
 MOST_COPIES = 3
@@ -44,14 +44,14 @@ def targets(sizes: DataFrame, weights=WEIGHTS, most: int = MOST_COPIES) -> DataF
     return s.select("source", "source_size", F.when(F.col("full"), F.col("cap").cast("double")).otherwise(share).alias("target"))
 
 
-def mixed(docs: DataFrame, seed: str = "", weights=WEIGHTS, most: int = MOST_COPIES, bins: int = BINS) -> DataFrame:
+def mixed(docs: DataFrame, seed: str = "", weights=WEIGHTS, most: int = MOST_COPIES, bins: int = BINS, also: tuple[str, ...] = ()) -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target, copies, taken (= copies * size).
 
     Null texts and texts without words have size 0; null sources form one source, the last. Reruns agree,
-    as u comes from doc_id alone (rows with one doc_id share it; ties are broken by doc_id, then size).
-    Other columns are ignored; an empty table gives an empty result.
+    as u comes from doc_id alone (rows with one doc_id share it; ties are broken by doc_id, then size, then
+    `also`, columns that come along). Other columns are ignored; an empty table gives an empty result.
     """
-    sized = written(docs.select("doc_id", "source", words(F.col("text")).alias("size")), "sizes")
+    sized = written(docs.select(*also, "doc_id", "source", words(F.col("text")).alias("size")), "sizes")
     share = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most)
     share = share.withColumnRenamed("source", "of")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
@@ -64,17 +64,18 @@ def mixed(docs: DataFrame, seed: str = "", weights=WEIGHTS, most: int = MOST_COP
     before = F.coalesce(F.sum("bin_size").over(Window.partitionBy("of").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     sums = sums.select(F.col("of").alias("of_"), F.col("bin").alias("bin_"), before.alias("before"))
     d = d.join(sums, d["of"].eqNullSafe(sums["of_"]) & (d["bin"] == sums["bin_"]))
-    run = F.sum("size").over(Window.partitionBy("of", "bin").orderBy("q", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0))
+    run = F.sum("size").over(Window.partitionBy("of", "bin").orderBy("q", "doc_id", "size", *also).rowsBetween(Window.unboundedPreceding, 0))
     drawn = (F.col("p") > 0) & (F.col("before") + run - F.col("size") / F.lit(2.0) <= F.col("p") * F.col("source_size"))
     d = d.withColumn("copies", F.col("sure") + F.when(drawn, 1).otherwise(0))
-    return d.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+    return d.select(*also, "doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 
 def mix(docs: DataFrame) -> DataFrame:
     """docs with each row repeated as often as the mix takes it; columns unchanged. A row that is not taken goes."""
-    took = mixed(docs).where("copies > 0").groupBy(F.col("doc_id").alias("_id")).agg(F.max("copies").cast("int").alias("_n"))
-    out = docs.join(took, docs["doc_id"].eqNullSafe(took["_id"]))
-    return out.withColumn("_k", F.explode(F.sequence(F.lit(1), F.col("_n")))).select(*[docs[c] for c in docs.columns])
+    rows = keyed(docs, *[c for c in docs.columns if c != "doc_id"])
+    took = mixed(rows, also=("uid",)).where("copies > 0").select("uid", F.col("copies").cast("int").alias("_n"))
+    out = rows.join(took, "uid")
+    return out.withColumn("_k", F.explode(F.sequence(F.lit(1), F.col("_n")))).select(*docs.columns)
 
 
 def op4_source_mixing(spark, sf_dir):

@@ -8,6 +8,8 @@ import numpy as np
 import pytest
 from helpers import DOCS, corpus, prose
 
+from pyspark.sql import functions as F
+
 from cuelark.llm import licenses, lm_scoring, mixing, pieces, quality_classifier, quality_rules
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -227,3 +229,11 @@ def test_empty_tables_of_labels(spark, docs, labelled):
     assert quality_rules.judged(docs, none).where("score <> 0").count() == 0
     empty = spark.createDataFrame([], DOCS)
     assert quality_classifier.classified(empty, labelled[1]).count() == 0 and quality_rules.judged(empty, labelled[1]).count() == 0
+
+
+def test_mix_takes_rows_of_one_id_by_row(spark):
+    rows = [(None, "a b c" * (i % 5 + 1), None, f"s{i % 3}", 0) for i in range(60)] + [(7, "x " * i, None, f"s{i % 3}", 0) for i in range(1, 40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    want = mixing.mixed(df).groupBy("source").agg(F.sum("copies").alias("n"), F.sum("taken").alias("taken")).collect()
+    got = mixing.mix(df).groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.sum(mixing.words(F.col("text"))).alias("taken")).collect()
+    assert sorted((r.source, r.n, r.taken) for r in got) == sorted((r.source, r.n, r.taken) for r in want if r.n)
