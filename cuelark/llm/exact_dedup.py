@@ -11,6 +11,7 @@ keys adaptive execution splits. No list of a group's members is ever made.
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -20,6 +21,8 @@ from .common import ascii_lower, documents, keyed, written
 
 BLOCK_BYTES = 1024
 POSITIONS = 2**31
+#: Stands for the second of a pair that has none; positions, from 64-bit row numbers, are over -2**94.
+NO_NAME = Decimal(-(2**100))
 
 
 def _position(uid: Column, i: Column) -> Column:
@@ -49,7 +52,7 @@ def identities(texts: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
             return reduce(DataFrame.unionByName, done)
         pairs = longer.groupBy("uid", F.expr("i div 2").cast("int").alias("i")).agg(
             F.max(F.when(F.col("i") % 2 == 0, F.col("name"))).alias("a"),
-            F.coalesce(F.max(F.when(F.col("i") % 2 == 1, F.col("name"))), F.lit(-(2**62))).alias("b"),
+            F.coalesce(F.max(F.when(F.col("i") % 2 == 1, F.col("name"))), F.lit(NO_NAME)).alias("b"),
             F.expr("cast((max(n) + 1) div 2 as int)").alias("n"),
         )
         level, k = written(_named(pairs, "a", "b"), "pairs"), k + 1

@@ -8,19 +8,21 @@ union are maxima of registers, and two sets agree in one with a chance close to
    smallest member.
 2. BANDS bands of ROWS registers put classes into buckets. At the stated similarity a pair shares none
    with a chance of (1 - similarity**ROWS)**BANDS, 8e-11 at 0.85 and 3e-8 at 0.8.
-3. A bucket's members are not paired with each other. Each is paired with the bucket's hub, the member that
-   shares buckets with the most others (the text that copies were made from), and then, as far as the two are not
-   yet in one component, with its NEAR neighbours in the order of the registers behind the band, in two orders. Buckets
-   of up to NEAR + 1 members stay in one task and are so compared in full. Where members of a larger one are then still
-   in different components, these members go through a set-similarity join: two sets that reach the similarity share
-   one of the first shingles of both, taken in one order for all (rare ones first), so only documents that meet there are
-   paired, as far as sizes, places and registers allow. This finds what hub and neighbours leave.
+3. A bucket's members are not paired with each other; links are sought in the order of their likely use, and only
+   between components that are still apart. Each document is paired with one hub, the most central member of its
+   buckets (the text that copies were made from); then with its NEAR neighbours in the order of the registers
+   behind the band, in two orders, of which likely ones are emitted: all in buckets of up to NEAR + 1 members, which stay in
+   one task and are so compared in full, and one for each member of a larger bucket. Larger buckets that
+   then still hold several components go through a set-similarity join, so that no link is left to these orders: two
+   sets that reach the similarity share one of the first shingles of both, taken in one order for all (rare ones
+   first), so only documents that meet there are paired, as far as sizes, places and registers allow. Members of the largest
+   component of each of their buckets (hosts) are compared with the others (guests) alone.
 4. A pair's similarity is estimated by maximum likelihood from all registers jointly (greater, less, equal) and
    the sizes; pairs go that lie so far below the limit that one at the limit does with a chance of 1e-6 at most. The others are verified on
    their full sets.
 5. Components of the verified links come from label propagation with pointer jumping.
 
-A bucket of k members costs k * (1 + 2 * NEAR) pairs at most before the join. A shingle that is among the first ones of
+Before the join, a bucket of k members makes k pairs at most in each order. A shingle that is among the first ones of
 many is dealt over pairs of blocks of about BLOCK documents. Hot buckets are counted with map-side combining, joined
 from written tables, whose hot keys adaptive execution splits, and ordered by range partitioning.
 """
@@ -28,6 +30,7 @@ from written tables, whose hot keys adaptive execution splits, and ordered by ra
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -35,12 +38,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, keyed, small, written
+from .common import documents, dropped, keyed, small, written
 
 BANDS, ROWS = 32, 4
 A, B, Q = 20.0, 1.001, 2**16 - 2
 NEAR = 16
-SLOTS, BLOCK = 2**20, 256  # the join: counters of shingles, documents of a block
+SLOTS, BLOCK = 2**20, 1024  # the join: counters of shingles, documents of a block
 AFTER = 8  # registers behind a band that order its buckets
 AT_ONCE, BYTES_AT_ONCE = 1024, 2**22
 WORDS, SIMILARITY = 5, 80  # words of a shingle, per cent
@@ -150,25 +153,27 @@ def _banded(batches):
 
 def _neighbours(similarity: int):
     """Entries in the order of band, bucket and registers to likely pairs of entries of one bucket, at most NEAR apart
-    and of different components."""
-    columns = ("band", "key", "uid", "label", "n_shingles")
+    and of different components: all such pairs of a small bucket, of a crowd the nearest one before each entry."""
+    columns = ("band", "key", "uid", "label", "n_shingles", "n")
 
     def run(batches):
         tail = None
         for batch in small(batches, 4096, BYTES_AT_ONCE, "reg"):
             now = [batch.column(c).to_numpy(zero_copy_only=False) for c in columns]
             now.append(np.frombuffer(b"".join(batch.column("reg").to_pylist()), np.uint16).reshape(-1, BANDS * ROWS))
-            band, key, uid, label, n, reg = now if tail is None else [np.concatenate(x) for x in zip(tail, now, strict=True)]
+            band, key, uid, label, n, members, reg = now if tail is None else [np.concatenate(x) for x in zip(tail, now, strict=True)]
             fresh, pairs = len(band) - len(batch), [np.zeros((2, 0), np.int64)]
+            open_ = np.ones(len(band), bool)
             for d in range(1, min(NEAR, len(band) - 1) + 1):
                 y = np.arange(max(fresh, d), len(band))
                 x = y - d
-                at = np.flatnonzero((band[x] == band[y]) & (key[x] == key[y]) & (label[x] != label[y]))
+                at = np.flatnonzero(open_[y] & (band[x] == band[y]) & (key[x] == key[y]) & (label[x] != label[y]))
                 for k in range(0, len(at), 1024):
                     i, j = x[at[k : k + 1024]], y[at[k : k + 1024]]
                     good = estimate(reg[i], reg[j], n[i].astype(float), n[j].astype(float)) >= least_likely(similarity)
                     pairs.append(np.stack([uid[i[good]], uid[j[good]]]))
-            tail = [c[-NEAR:] for c in (band, key, uid, label, n, reg)]
+                    open_[j[good]] = members[j[good]] <= NEAR + 1
+            tail = [c[-NEAR:] for c in (band, key, uid, label, n, members, reg)]
             both = np.unique(np.sort(np.concatenate(pairs, axis=1), axis=0), axis=1)
             yield pa.RecordBatch.from_arrays([pa.array(both[0], pa.int64()), pa.array(both[1], pa.int64())], ["a", "b"])
 
@@ -242,25 +247,32 @@ def _first_counters(often: np.ndarray, similarity: int):
 _DEALT = "shingle long, one int, other int, block int, uid long, label long, n long, place int, low binary"
 
 
-def _dealt(often: np.ndarray, hot: np.ndarray, similarity: int):
-    """A document to an entry for each of its first shingles, or for each pair of blocks where a shingle is hot."""
+def _dealt(often: np.ndarray, guests: np.ndarray, hosts: np.ndarray, similarity: int):
+    """A document to an entry for each of its first shingles, or for each pair of blocks where a shingle is hot.
+
+    Blocks of guests come first and meet all blocks; those of hosts, which need not be compared with each other, meet those of guests."""
 
     def run(batches):
         for batch in small(batches, AT_ONCE, BYTES_AT_ONCE, "shingles"):
             uid, label, n = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("uid", "label", "n_shingles"))
+            guest = batch.column("guest").to_numpy(zero_copy_only=False).astype(bool)
             first = [_first_shingles(np.frombuffer(x, np.uint64), often, similarity) for x in batch.column("shingles").to_pylist()]
             low = [np.frombuffer(x, np.uint8)[::2].tobytes() for x in batch.column("reg").to_pylist()]
             if not first:
                 continue
             doc = np.repeat(np.arange(len(first)), [len(s) for s, _ in first])
             shingle, place = (np.concatenate(x) for x in zip(*first, strict=True))
-            blocks = np.maximum(-(-hot[_slots(shingle)].astype(np.int64) // BLOCK), 1)
-            block = (mixed_bits(uid[doc].astype(np.uint64)) % blocks.astype(np.uint64)).astype(np.int64)
-            ends = np.cumsum(blocks)
+            slot = _slots(shingle)
+            g, h = (-(-x[slot].astype(np.int64) // BLOCK) for x in (guests, hosts))
+            own = guest[doc]
+            blocks = np.maximum(np.where(own, g, h), 1)
+            block = (mixed_bits(uid[doc].astype(np.uint64)) % blocks.astype(np.uint64)).astype(np.int64) + np.where(own, 0, g)
+            met = np.where(own, g + h, g)  # blocks that it meets, its own among them if it is a guest
+            ends = np.cumsum(met)
             for a in range(0, int(ends[-1]) if len(ends) else 0, 16384):
                 k = np.arange(a, min(a + 16384, ends[-1]))
                 i = np.searchsorted(ends, k, side="right")
-                with_, d = k - (ends[i] - blocks[i]), doc[i]
+                with_, d = k - (ends[i] - met[i]), doc[i]
                 made = [np.minimum(block[i], with_), np.maximum(block[i], with_), block[i]]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -308,11 +320,12 @@ def _met(similarity: int):
 
 
 def joined_by_shingles(rows: DataFrame, similarity: int) -> DataFrame:
-    """(uid, label, n_shingles, reg, shingles) to the pairs (a, b) of different labels that may reach the similarity."""
+    """(uid, label, guest, n_shingles, reg, shingles) to the pairs (a, b) of different labels that may reach the
+    similarity and of which one is a guest at least."""
     often = _table(rows.mapInArrow(_shingle_counters, "slot long, n long"))
-    hot = _table(rows.mapInArrow(_first_counters(often, similarity), "slot long, n long"))
+    guests, hosts = (_table(rows.where(x).mapInArrow(_first_counters(often, similarity), "slot long, n long")) for x in ("guest", "NOT guest"))
     groups = ["shingle", "one", "other"]
-    dealt = rows.mapInArrow(_dealt(often, hot, similarity), _DEALT).repartition(*groups).sortWithinPartitions(*groups)
+    dealt = rows.mapInArrow(_dealt(often, guests, hosts, similarity), _DEALT).repartition(*groups).sortWithinPartitions(*groups)
     return dealt.mapInArrow(_met(similarity), "a long, b long").distinct()
 
 
@@ -353,10 +366,10 @@ def components(links: DataFrame, name: str = "labels") -> DataFrame:
         near = both.join(label.select(F.col("uid").alias("b"), "label"), "b").groupBy(F.col("a").alias("uid")).agg(F.min("label").alias("near"))
         step = label.join(near, "uid").select("uid", F.least("label", "near").alias("to"), F.col("label").alias("was"))
         up = label.select(F.col("uid").alias("to"), F.col("label").alias("up"))
-        after = written(step.join(up, "to").select("uid", F.least("to", "up").alias("label"), "was"), name)
-        if after.where("label <> was").isEmpty():
-            return after.select("uid", "label")
-        label = after.select("uid", "label")
+        label = written(step.join(up, "to").select("uid", F.least("to", "up").alias("label"), "was"), name, drop=(label,))
+        if label.where("label <> was").isEmpty():
+            dropped(both)
+            return label
 
 
 def _labelled(rows: DataFrame, label: DataFrame) -> DataFrame:
@@ -375,40 +388,50 @@ def classes(rows: DataFrame, words: int, similarity: int) -> DataFrame:
     counted = entries.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     entries = written(entries.join(counted, ["band", "key"]), "entries")
     central = written(entries.groupBy("uid").agg(F.sum("n").alias("central")), "central")
-    hubs = entries.join(central, "uid").groupBy("band", "key").agg(F.max(F.struct("central", (-F.col("uid")).alias("uid"))).alias("hub"))
-    hubs = written(hubs.select("band", "key", (-F.col("hub.uid")).alias("hub")), "hubs")
-    near = entries.join(hubs, ["band", "key"]).where("uid <> hub").select(F.least("uid", "hub").alias("a"), F.greatest("uid", "hub").alias("b")).distinct()
+    hubs = entries.join(central, "uid").groupBy("band", "key").agg(F.max(F.struct("central", (-F.col("uid")).alias("least"))).alias("hub"))
+    hubs = written(hubs, "hubs")
+    best = entries.join(hubs, ["band", "key"]).where("uid <> -hub.least").groupBy("uid").agg(F.max("hub")["least"].alias("least"))
+    near = written(best.select(F.least("uid", -F.col("least")).alias("a"), F.greatest("uid", -F.col("least")).alias("b")).distinct(), "near", drop=(hubs,))
     sets = rows.select(F.col("uid").cast("long").alias("uid"), "text").join(central.select("uid"), "uid", "left_semi")
     sets = written(sets.mapInArrow(_set_of(words), "uid long, shingles binary"), "sets")
-    sketch = written(sketch.join(central.select("uid"), "uid", "left_semi"), "members")
+    sketch = written(sketch.join(central.select("uid"), "uid", "left_semi"), "members", drop=(central,))
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         side = lambda t, s, *c: t.select(F.col("uid").alias(s), *[F.col(x).alias(f"{y}_{s}") for x, y in c])
         regs, full = (("reg", "reg"), ("n_shingles", "n")), (("shingles", "shingles"),)
         likely = pairs.join(side(sketch, "a", *regs), "a").join(side(sketch, "b", *regs), "b").mapInArrow(_likely(similarity), "a long, b long")
         rest = written(likely, "likely")
-        return rest.join(side(sets, "a", *full), "a").join(side(sets, "b", *full), "b").mapInArrow(_linked(similarity), "a long, b long")
+        linked = rest.join(side(sets, "a", *full), "a").join(side(sets, "b", *full), "b").mapInArrow(_linked(similarity), "a long, b long")
+        return written(linked, "links", drop=(rest,))
 
-    links = written(confirmed(near), "links")
+    links = [confirmed(near)]
+    dropped(near)
+    every = lambda: reduce(DataFrame.unionByName, links)
+    label = components(every())
     after = F.reverse(F.split(F.hex("after"), "(?<=\\G.{4})"))  # the last register first
     for order in (["band", "key", "after", "uid"], ["band", "key", "reverse", "uid"]):
-        members = _labelled(entries.select("uid", "band", "key", "n", "after", F.array_join(after, "").alias("reverse")), components(links))
+        members = _labelled(entries.select("uid", "band", "key", "n", "after", F.array_join(after, "").alias("reverse")), label)
         members = members.join(sketch, "uid")
         crowd = F.col("n") > NEAR + 1  # others stay whole
         members = members.repartitionByRange(*order[:2], *[F.when(crowd, F.col(c)) for c in order[2:]]).sortWithinPartitions(*order)
-        more = members.select("band", "key", "uid", "label", "n_shingles", "reg").mapInArrow(_neighbours(similarity), "a long, b long").distinct()
-        links = written(links.unionByName(confirmed(more)), "links")
-    label = components(links)
-    crowds = written(_labelled(entries.where(F.col("n") > NEAR + 1).select("uid", "band", "key"), label), "crowds")
-    open_ = crowds.groupBy("band", "key").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least < most")
-    rest = written(crowds.join(open_, ["band", "key"]).select("uid", "label").distinct().join(sketch, "uid").join(sets, "uid"), "open")
+        more = members.select("band", "key", "uid", "label", "n_shingles", "n", "reg").mapInArrow(_neighbours(similarity), "a long, b long").distinct()
+        links.append(confirmed(more))
+        dropped(label)
+        label = components(every())
+    crowds = written(_labelled(entries.where(F.col("n") > NEAR + 1).select("uid", "band", "key"), label), "crowds", drop=(entries,))
+    of = crowds.groupBy("band", "key", "label").agg(F.count(F.lit(1)).alias("n"))
+    open_ = of.groupBy("band", "key").agg(F.max_by("label", F.struct("n", "label")).alias("most"), F.count(F.lit(1)).alias("labels")).where("labels > 1")
+    rest = crowds.join(written(open_, "open"), ["band", "key"]).groupBy("uid", "label").agg(F.bool_or(F.col("label") != F.col("most")).alias("guest"))
+    rest = written(rest.join(sketch, "uid").join(sets, "uid"), "rest", drop=(crowds,))
     if not rest.isEmpty():
-        more = written(confirmed(joined_by_shingles(rest, similarity)), "links")
-        if not more.isEmpty():
-            label = components(links.unionByName(more))
+        links.append(confirmed(joined_by_shingles(rest, similarity)))
+        dropped(label)
+        label = components(every())
+    dropped(rest, sets, sketch, *links)
     found = made.select("uid", *same).join(reps, same, "left").withColumn("rep", F.coalesce("rep", "uid"))
-    found = found.join(label.withColumnRenamed("uid", "rep"), "rep", "left").select("uid", "n_shingles", F.coalesce("label", "rep").alias("label"))
-    return rows.select("doc_id", "uid").join(found, "uid").select("doc_id", "uid", "n_shingles", "label")
+    found = found.join(label.select(F.col("uid").alias("rep"), "label"), "rep", "left").select("uid", "n_shingles", F.coalesce("label", "rep").alias("label"))
+    found = rows.select("doc_id", "uid").join(found, "uid").select("doc_id", "uid", "n_shingles", "label")
+    return written(found, "found", drop=(made, reps, label))
 
 
 def near_copies(docs: DataFrame, words: int = WORDS, similarity: int = SIMILARITY) -> DataFrame:
@@ -420,7 +443,7 @@ def near_copies(docs: DataFrame, words: int = WORDS, similarity: int = SIMILARIT
     documents and are all kept where that doc_id is the component's. A null doc_id is the smallest only
     where there is no other. Other columns are ignored; an empty table gives an empty result.
     """
-    found = written(classes(keyed(docs, "text"), words, similarity), "found")
+    found = classes(keyed(docs, "text"), words, similarity)
     first = written(found.groupBy("label").agg(F.min("doc_id").alias("component_id")), "first")
     return found.join(first, "label").select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
@@ -428,7 +451,7 @@ def near_copies(docs: DataFrame, words: int = WORDS, similarity: int = SIMILARIT
 def without_near_copies(docs: DataFrame, words: int = WORDS, similarity: int = SIMILARITY) -> DataFrame:
     """docs with one row of each component, the one with the smallest doc_id; columns unchanged."""
     rows = keyed(docs, *[c for c in docs.columns if c != "doc_id"])
-    found = written(classes(rows.select("doc_id", "uid", "text"), words, similarity), "found")
+    found = classes(rows.select("doc_id", "uid", "text"), words, similarity)
     one = found.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "uid"))["uid"].alias("uid"))
     return rows.join(one, "uid", "left_semi").select(*docs.columns)
 

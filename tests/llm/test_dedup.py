@@ -45,6 +45,14 @@ def test_exact_groups_of_repeated_and_null_ids(spark):
     assert exact_dedup.without_copies(df).count() == 3
 
 
+def test_the_smallest_ids_are_no_padding(spark):
+    """Texts of three and of four blocks, the last of which is a block that the smallest doc_id has first."""
+    low = -(2**31)
+    rows = [(low, "z" * 7), (1, "a" * 7 + "b" * 7 + "c" * 7), (2, "a" * 7 + "b" * 7 + "c" * 7 + "z" * 7)]
+    got = exact_dedup.exact_groups(spark.createDataFrame(rows, "doc_id long, text string"), 7).collect()
+    assert sorted((r.doc_id, r.group_size) for r in got) == [(low, 1), (1, 1), (2, 1)]
+
+
 def shingles(text, k):
     w = WORD.findall((text or "").translate(LOWER))
     return {tuple(w[i : i + k]) for i in range(max(len(w) - k + 1, 1))} if w else set()
@@ -174,6 +182,14 @@ def test_sentence_spans(docs):
     assert sum(r.n_removed > 0 for r in got) >= 5
 
 
+@pytest.mark.parametrize("run", [exact_dedup.exact_groups, near_dedup.near_copies, sentence_spans.without_repeats, suffixes.without_repeats])
+def test_string_ids(spark, docs, run):
+    """They are compared as strings."""
+    few = docs.where("text IS NOT NULL").selectExpr("lpad(doc_id, 9, '0') AS doc_id", "text")
+    back = lambda rows: sorted(tuple(int(v) if k.endswith("_id") else v for k, v in r.asDict().items()) for r in rows.collect())
+    assert back(run(few)) == back(run(docs.where("text IS NOT NULL")))
+
+
 @pytest.mark.parametrize("run", [exact_dedup.exact_groups, near_dedup.near_copies, sentence_spans.without_repeats, suffixes.without_repeats])
 def test_empty_and_clashing(spark, docs, run):
     assert run(spark.createDataFrame([], DOCS)).count() == 0
@@ -192,6 +208,13 @@ def boilerplate_crowd(n=500, pairs=80):
     return [(i, shared + " " + " ".join(w), None, None, 0) for i, w in enumerate(own)], {i: min(i, n - 1 - i) if min(i, n - 1 - i) < pairs else i for i in range(n)}
 
 
+def test_near_copies_inside_a_large_crowd(spark):
+    """A family below the limit in whose crowds every planted pair is found."""
+    rows, expected = boilerplate_crowd(2500, 150)
+    got = near_dedup.near_copies(spark.createDataFrame(rows, DOCS).repartition(8), words=1, similarity=85).collect()
+    assert {r.doc_id: r.component_id for r in got} == expected
+
+
 def test_near_copies_inside_a_crowd(spark):
     rows, expected = boilerplate_crowd()
     sets = [set(r[1].split()) for r in rows]
@@ -207,14 +230,14 @@ def test_shingle_join_of_blocks(spark, monkeypatch):
     r = random.Random(8)
     sets = [np.unique(np.array(r.sample(range(60), 40), np.uint64)) for _ in range(90)]
     reg = near_dedup.registers(sets)
-    rows = [(i, i, len(s), reg[i].tobytes(), s.tobytes()) for i, s in enumerate(sets)]
-    df = spark.createDataFrame(rows, "uid long, label long, n_shingles long, reg binary, shingles binary")
     brute = {(i, j) for i in range(90) for j in range(i + 1, 90) if 100 * len(np.intersect1d(sets[i], sets[j])) >= 60 * len(np.union1d(sets[i], sets[j]))}
     assert brute
-    for block in (256, 8):
+    for block, hosts in ((256, 0), (8, 0), (8, 40), (256, 40)):
         monkeypatch.setattr(near_dedup, "BLOCK", block)
+        rows = [(i, i, i >= hosts, len(s), reg[i].tobytes(), s.tobytes()) for i, s in enumerate(sets)]
+        df = spark.createDataFrame(rows, "uid long, label long, guest boolean, n_shingles long, reg binary, shingles binary")
         got = {(x.a, x.b) for x in near_dedup.joined_by_shingles(df, 60).collect()}
-        assert brute <= got
+        assert {(a, b) for a, b in brute if b >= hosts} <= got and not any(a < hosts and b < hosts for a, b in got)
 
 
 @pytest.mark.parametrize("per_cent", [80, 85])
