@@ -80,26 +80,29 @@ def apply_event(state: State, kind: str, sequence: int, up_to: float, words) ->
     return new, None
 
 
-COMMITTED = "sequence long, position int, word string, start_time double, end_time double, last_final double, error string"
+COMMITTED = "arrival long, sequence long, position int, word string, start_time double, end_time double, last_final double, error string, pending string"
 
 
-def folded(rows: pd.DataFrame, key: str) -> pd.DataFrame:
-    """All events of one session, in order of sequence (unchecked ones first), then arrival."""
-    state, out, n = State(), [], 0
-    rows = rows.sort_values(["sequence", "arrival"], kind="stable")
-    for r in rows.itertuples(index=False):
+def applied(state: State, rows: pd.DataFrame, key) -> pd.DataFrame:
+    """Rows of one session in the order of arrival, which alone counts: sequences are checked against what came before.
+    One row for each committed word, for each error, and for each partial event with what is then pending."""
+    out = []
+    for r in rows.sort_values("arrival", kind="stable").itertuples(index=False):
         words = [(w["word"], w["start_time"], w["end_time"]) for w in r.words] if r.words is not None else []
-        new, error = apply_event(state, r.type, int(r.sequence), float(r.up_to or 0.0), words)
-        for w in new:
-            out.append((getattr(r, key), r.sequence, n, *w, state.last_final, None))
-            n += 1
-        if error:
-            out.append((getattr(r, key), r.sequence, None, None, None, None, state.last_final, error))
-    out = pd.DataFrame(out, columns=[key, *[c.split()[0] for c in COMMITTED.split(", ")]])
-    return out.astype({"position": "Int32"})
+        at = state.n_committed
+        new, error = apply_event(state, r.type, int(r.sequence), 0.0 if pd.isna(r.up_to) else float(r.up_to), words)
+        out += [(key, r.arrival, r.sequence, at + k, *w, state.last_final, None, None) for k, w in enumerate(new)]
+        if error or r.type == PARTIAL:
+            out.append((key, r.arrival, r.sequence, None, None, None, None, state.last_final, error, " ".join(w[0] for w in state.pending)))
+    return pd.DataFrame(out, columns=["key", *[c.split()[0] for c in COMMITTED.split(", ")]]).astype({"position": "Int32"})
+
+
+def folded(rows: pd.DataFrame, key: str) -> pd.DataFrame:
+    """All events of one session."""
+    return applied(State(), rows, rows[key].iloc[0]).rename(columns={"key": key})
 
 
 def accumulated(events: DataFrame, key: str = "session_id") -> DataFrame:
-    """(key, arrival, type, sequence, up_to, words array<struct<word, start_time, end_time>>) to committed words and errors."""
+    """(key, arrival, type, sequence, up_to, words array<struct<word, start_time, end_time>>) to committed words, previews and errors."""
     kind = events.schema[key].dataType.simpleString()
     return events.groupBy(key).applyInPandas(lambda rows: folded(rows, key), f"{key} {kind}, {COMMITTED}")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,11 +27,23 @@ def error_code(expected: Column) -> Column:
 
 
 def validated(events: DataFrame) -> DataFrame:
-    """Session events with `code`. The expected sequence is the number of audio events before; the stateful form,
-    in which a rejected event does not count, is the streaming processor's."""
-    before = Window.partitionBy("session_id").orderBy("arrival").rowsBetween(Window.unboundedPreceding, -1)
-    expected = F.coalesce(F.sum(F.when(F.col("type") == "audio", 1).otherwise(0)).over(before), F.lit(0))
-    return events.withColumn("expected", expected).withColumn("code", error_code(F.col("expected"))).drop("expected")
+    """Session events with `code`. The expected sequence is the number of audio events accepted before; a rejected one
+    does not advance it, so that a session's audio is one fold over (arrival, sequence, well-formed)."""
+    kind = F.col("type") == "audio"
+    fine = kind & (F.col("pts") >= 0) & (F.col("duration") >= 0)
+    numbered = events.withColumn("_fine", F.coalesce(fine, F.lit(False)))
+    audio = numbered.where(kind).select("session_id", F.col("arrival").cast("long").alias("arrival"), "sequence", "_fine")
+    audio = audio.groupBy("session_id").applyInPandas(_expected, f"session_id {events.schema['session_id'].dataType.simpleString()}, arrival long, expected long")
+    return events.join(audio, ["session_id", "arrival"], "left").withColumn("code", error_code(F.col("expected"))).drop("expected")
+
+
+def _expected(rows: pd.DataFrame) -> pd.DataFrame:
+    """The sequence that each audio event of a session should have had."""
+    rows, n, out = rows.sort_values("arrival", kind="stable"), 0, []
+    for sequence, fine in zip(rows.sequence, rows._fine, strict=True):
+        out.append(n)
+        n += bool(fine and sequence == n)
+    return pd.DataFrame({"session_id": rows.session_id, "arrival": rows.arrival, "expected": out})
 
 
 def _spanned(events: DataFrame) -> DataFrame:
@@ -74,8 +87,8 @@ def idle_sessions(events: DataFrame, seconds: float = IDLE_SECONDS) -> DataFrame
 
 
 def preview_changes(previews: DataFrame) -> DataFrame:
-    """(session_id, sequence, preview): rows whose preview is not empty and differs from the one before."""
-    order = Window.partitionBy("session_id").orderBy("sequence")
+    """(session_id, arrival, sequence, preview): rows whose preview is not empty and differs from the one before."""
+    order = Window.partitionBy("session_id").orderBy("arrival")
     p = previews.withColumn("was", F.coalesce(F.lag("preview").over(order), F.lit("")))
     return p.where("preview <> '' AND preview <> was").drop("was")
 

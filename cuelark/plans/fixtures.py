@@ -49,6 +49,24 @@ def final_events(words: DataFrame) -> DataFrame:
     return e.select("session_id", F.col("sequence").alias("arrival"), F.lit("final_words").alias("type"), "sequence", "up_to", "words")
 
 
+def revised_events(words: DataFrame) -> DataFrame:
+    """Each final event with a partial one of its first two words before it."""
+    f = final_events(words)
+    p = f.withColumn("type", F.lit("partial")).withColumn("words", F.slice("words", 1, 2)).withColumn("up_to", F.lit(0.0)).withColumn("arrival", 2 * F.col("arrival"))
+    return p.unionByName(f.withColumn("arrival", 2 * F.col("arrival") + 1))
+
+
+def disordered_events(words: DataFrame) -> DataFrame:
+    """Final events, of which every third comes behind its successor and every fifth comes twice; every fourth is preceded by
+    a partial one and every seventh followed by one."""
+    s = F.col("sequence")
+    at = 10 * s + F.when(s % 3 == 1, 12).otherwise(0)
+    f = final_events(words).withColumn("arrival", at)
+    more = [f.where(s % 5 == 0).withColumn("arrival", at + 3)]
+    more += [f.where(x).withColumn("arrival", at + k).withColumn("type", F.lit("partial")) for x, k in ((s % 4 == 0, -1), (s % 7 == 0, 4))]
+    return f.unionByName(more[0]).unionByName(more[1]).unionByName(more[2])
+
+
 def recordings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sizes of files of a tenth of a second per character."""
     n = F.coalesce(F.col("n_chars"), F.lit(0))

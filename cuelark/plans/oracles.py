@@ -100,14 +100,24 @@ SQL = {
     "accumulated_final": f"{COMMITTED} SELECT session_id, sequence, word, start_time, end_time FROM kept",
     "event_deltas": f"""{COMMITTED}, e AS (SELECT DISTINCT session_id, sequence FROM ev), g AS (SELECT session_id, sequence, count(*) AS n FROM kept GROUP BY ALL)
         SELECT e.session_id, e.sequence, coalesce(n, 0) AS delta, sum(coalesce(n, 0)) OVER (PARTITION BY e.session_id ORDER BY e.sequence)::BIGINT AS committed FROM e LEFT JOIN g USING (session_id, sequence)""",
-    "preview_changes": f"""{EVENTS}, o AS (SELECT *, row_number() OVER (PARTITION BY session_id, sequence ORDER BY i) AS rn FROM ev),
-        p AS (SELECT session_id, sequence, coalesce(string_agg(word, ' ' ORDER BY i) FILTER (WHERE rn <= 2 AND sequence % 3 <> 0), '') AS preview FROM o GROUP BY ALL),
-        l AS (SELECT *, coalesce(lag(preview) OVER (PARTITION BY session_id ORDER BY sequence), '') AS was FROM p) SELECT session_id, sequence, preview FROM l WHERE preview <> '' AND preview <> was""",
+    "preview_changes": f"""{COMMITTED}, o AS (SELECT *, row_number() OVER (PARTITION BY session_id, sequence ORDER BY i) AS rn FROM ev),
+        pend AS (SELECT o.* FROM o JOIN prior USING (session_id, sequence) WHERE rn <= 2 AND trim(o.word) <> '' AND o.end_time > last + 0.05::DOUBLE AND NOT EXISTS (
+          SELECT 1 FROM kept b WHERE b.session_id = o.session_id AND b.sequence < o.sequence AND b.form = {SAME.format('o.word')} AND abs(b.start_time - o.start_time) <= 0.35::DOUBLE AND abs(b.end_time - o.end_time) <= 0.35::DOUBLE)
+          AND NOT EXISTS (SELECT 1 FROM o b WHERE b.session_id = o.session_id AND b.sequence = o.sequence AND b.rn < o.rn AND b.end_time > last + 0.05::DOUBLE AND {SAME.format('b.word')} = {SAME.format('o.word')} AND abs(b.start_time - o.start_time) <= 0.35::DOUBLE AND abs(b.end_time - o.end_time) <= 0.35::DOUBLE)),
+        p AS (SELECT e.session_id, e.sequence, coalesce(string_agg(pend.word, ' ' ORDER BY pend.i), '') AS preview FROM (SELECT DISTINCT session_id, sequence FROM ev) e LEFT JOIN pend USING (session_id, sequence) GROUP BY ALL),
+        l AS (SELECT *, coalesce(lag(preview) OVER (PARTITION BY session_id ORDER BY sequence), '') AS was FROM p) SELECT session_id, 2 * sequence AS arrival, sequence, preview FROM l WHERE preview <> '' AND preview <> was""",
+    "sequence_errors": f"""{EVENTS}, f AS (SELECT DISTINCT session_id, sequence, 10 * sequence + CASE WHEN sequence % 3 = 1 THEN 12 ELSE 0 END AS base FROM ev),
+        d AS (SELECT session_id, sequence, base AS arrival, true AS is_final FROM f UNION ALL SELECT session_id, sequence, base + 3, true FROM f WHERE sequence % 5 = 0
+          UNION ALL SELECT session_id, sequence, base - 1, false FROM f WHERE sequence % 4 = 0 UNION ALL SELECT session_id, sequence, base + 4, false FROM f WHERE sequence % 7 = 0),
+        seen AS (SELECT *, max(sequence) OVER w AS most, coalesce(bool_or(is_final) OVER (PARTITION BY session_id, sequence ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS done
+          FROM d WINDOW w AS (PARTITION BY session_id ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+        SELECT session_id, arrival, sequence, CASE WHEN sequence < most THEN 'out of order: ' || sequence || ' after ' || most ELSE 'already finalised: ' || sequence END AS error
+        FROM seen WHERE sequence < most OR sequence = most AND done""",
     "session_totals": f"""{EVENTS} SELECT session_id, count(*) AS word_count, round(max(up_to) * 1000) / 1000 AS duration, max(end_time) AS last_word_end FROM ev GROUP BY 1""",
     "chunk_event_pairs": f"""{SESSIONS}, c AS (SELECT session_id, sequence, epoch_us(ts) / 1000.0::DOUBLE AS emitted, row_number() OVER (PARTITION BY session_id ORDER BY sequence) AS k FROM s WHERE type = 'audio'),
         e AS (SELECT session_id, event_id, epoch_us(ts) / 1000.0::DOUBLE AS received, row_number() OVER (PARTITION BY session_id ORDER BY epoch_us(ts), event_id) AS k FROM s WHERE type IN ('flush', 'stop'))
         SELECT e.session_id, e.event_id, coalesce(c.sequence, -1) AS sequence, received - emitted AS latency_ms FROM e LEFT JOIN c USING (session_id, k)""",
-    "session_metrics": f"""{SESSIONS}, a AS (SELECT *, round(value)::BIGINT AS ms FROM s WHERE type = 'audio'), el AS (SELECT session_id, (max(epoch_us(ts)) - min(epoch_us(ts))) / 1e9::DOUBLE AS sec FROM s GROUP BY 1)
+    "session_metrics": f"""{SESSIONS}, a AS (SELECT *, round(value)::BIGINT AS ms FROM s WHERE type = 'audio'), el AS (SELECT session_id, (max(epoch_us(ts)) - min(epoch_us(ts))) / 1e6::DOUBLE AS sec FROM s GROUP BY 1)
         SELECT session_id, count(*) AS chunks, arg_max(sequence * 2, sequence) AS committed_words, round(max(pts + 0.5::DOUBLE) * 1000) / 1000 AS audio_seconds, round(avg(ms) * 1000) / 1000 AS avg_server_ms, max(ms) AS max_server_ms,
         round(avg(ms * 2) * 1000) / 1000 AS avg_end_to_end_ms, max(ms * 2) AS max_end_to_end_ms,
         round(coalesce(CASE WHEN any_value(sec) > 0 THEN (round(max(pts + 0.5::DOUBLE) * 1000) / 1000) / any_value(sec) ELSE 0 END, 0) * 1000) / 1000 AS audio_per_wall_second FROM a JOIN el USING (session_id) GROUP BY 1""",
@@ -121,10 +131,17 @@ SQL = {
     "idle_sessions": f"""{SESSIONS}, l AS (SELECT *, CASE WHEN epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY session_id ORDER BY ts, arrival)) > 36000000000 THEN 1 ELSE 0 END AS brk FROM s),
         st AS (SELECT *, sum(brk) OVER (PARTITION BY session_id ORDER BY ts, arrival)::BIGINT AS stretch FROM l)
         SELECT session_id, stretch, min(ts) AS first_ts, max(ts) AS last_ts, count(*) AS n_events FROM st GROUP BY 1, 2""",
-    "event_validation": f"""{SESSIONS}, x AS (SELECT *, coalesce(sum(CASE WHEN type = 'audio' THEN 1 ELSE 0 END) OVER (PARTITION BY session_id ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS expected FROM s)
+    "event_validation": f"""{SESSIONS.replace("WITH s0", "WITH RECURSIVE s0")}, x AS (SELECT session_id, event_id, type, arrival, value, event_id % 7 = 0 AS no_pts, CASE WHEN event_id % 11 = 0 THEN -1 ELSE value END AS duration,
+          (coalesce(sum(CASE WHEN type = 'audio' AND event_id % 7 <> 0 AND event_id % 11 <> 0 AND event_id % 17 <> 0 AND value >= 0 THEN 1 ELSE 0 END)
+            OVER (PARTITION BY session_id ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + CASE WHEN event_id % 17 = 0 THEN 1 ELSE 0 END)::BIGINT AS seq FROM s),
+        ok AS (SELECT session_id, arrival, seq FROM x WHERE type = 'audio' AND NOT no_pts AND duration >= 0),
+        nxt AS (SELECT a.session_id, a.arrival, a.seq, min(b.arrival) AS then FROM ok a LEFT JOIN ok b ON b.session_id = a.session_id AND b.seq = a.seq + 1 AND b.arrival > a.arrival GROUP BY ALL),
+        taken AS (SELECT session_id, min(arrival) AS arrival, 0::BIGINT AS seq FROM ok WHERE seq = 0 GROUP BY 1
+          UNION ALL SELECT t.session_id, n.then, t.seq + 1 FROM taken t JOIN nxt n ON n.session_id = t.session_id AND n.arrival = t.arrival AND n.seq = t.seq WHERE n.then IS NOT NULL),
+        e AS (SELECT x.*, count(t.arrival) OVER (PARTITION BY x.session_id ORDER BY x.arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS expected
+          FROM x LEFT JOIN taken t ON t.session_id = x.session_id AND t.arrival = x.arrival)
         SELECT session_id, event_id, type, CASE WHEN type NOT IN ('start', 'audio', 'flush', 'stop') THEN 'invalid-event-type' WHEN type = 'start' AND event_id % 13 = 0 THEN 'decoder-error'
-        WHEN type = 'audio' AND sequence <> expected THEN 'invalid-sequence' WHEN type = 'audio' AND event_id % 7 = 0 THEN 'invalid-pts'
-        WHEN type = 'audio' AND (CASE WHEN event_id % 11 = 0 THEN -1 ELSE value END) < 0 THEN 'invalid-duration' END AS code FROM x""",
+        WHEN type = 'audio' AND seq <> expected THEN 'invalid-sequence' WHEN type = 'audio' AND no_pts THEN 'invalid-pts' WHEN type = 'audio' AND duration < 0 THEN 'invalid-duration' END AS code FROM e""",
     "downmix": """WITH x AS (SELECT vec_id AS recording_id, unnest(embedding) AS v, generate_subscripts(embedding, 1) - 1 AS k FROM embeddings)
         SELECT recording_id, k // 2 AS frame, trunc(greatest(-32768, least(32767, avg(floor(v::DOUBLE * 200000)))))::INT AS value FROM x GROUP BY 1, 2""",
 }

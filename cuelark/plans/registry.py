@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import words as W
@@ -118,7 +118,7 @@ def stamp_words(spark, sf_dir):
 
 def accumulated_final(spark, sf_dir):
     a = accumulate.accumulated(X.final_events(X.words(spark, sf_dir)))
-    return a.where("error IS NULL").select("session_id", "sequence", "word", "start_time", "end_time")
+    return a.where("word IS NOT NULL").select("session_id", "sequence", "word", "start_time", "end_time")
 
 
 def event_deltas(spark, sf_dir):
@@ -127,9 +127,14 @@ def event_deltas(spark, sf_dir):
 
 
 def preview_changes(spark, sf_dir):
-    e = X.final_events(X.words(spark, sf_dir))
-    heard = F.slice(F.col("words"), 1, F.when(F.col("sequence") % 3 == 0, 0).otherwise(2).cast("int"))
-    return sessions.preview_changes(e.select("session_id", "sequence", W.joined(heard).alias("preview")))
+    a = accumulate.accumulated(X.revised_events(X.words(spark, sf_dir))).where("word IS NULL AND error IS NULL")
+    return sessions.preview_changes(a.select("session_id", "arrival", "sequence", F.col("pending").alias("preview")))
+
+
+def sequence_errors(spark, sf_dir):
+    """Events that come too late, again, or behind their final form."""
+    a = accumulate.accumulated(X.disordered_events(X.words(spark, sf_dir)))
+    return a.where("error IS NOT NULL").select("session_id", "arrival", "sequence", "error")
 
 
 def session_totals(spark, sf_dir):
@@ -147,7 +152,7 @@ def session_metrics(spark, sf_dir):
     e = X.session_events(spark, sf_dir).where("type = 'audio'")
     server = F.round("value").cast("long")
     chunks = e.select("session_id", "sequence", F.col("pts").alias("start"), F.lit(0.5).alias("duration"), (F.col("sequence") * 2).alias("committed"), server.alias("server_ms"), (server * 2).alias("end_to_end_ms"))
-    elapsed = X.session_events(spark, sf_dir).groupBy("session_id").agg(((F.max(F.unix_micros(F.col("ts").cast("timestamp"))) - F.min(F.unix_micros(F.col("ts").cast("timestamp")))) / 1e9).alias("elapsed_seconds"))
+    elapsed = X.session_events(spark, sf_dir).groupBy("session_id").agg(((F.max(F.unix_micros(F.col("ts").cast("timestamp"))) - F.min(F.unix_micros(F.col("ts").cast("timestamp")))) / 1e6).alias("elapsed_seconds"))
     return analysis.session_metrics(chunks, elapsed).drop("elapsed_seconds")
 
 
@@ -165,6 +170,10 @@ def idle_sessions(spark, sf_dir):
 
 def event_validation(spark, sf_dir):
     e = X.session_events(spark, sf_dir).withColumn("pts", F.when(F.col("event_id") % 7 == 0, -1.0).otherwise(F.col("pts"))).withColumn("duration", F.when(F.col("event_id") % 11 == 0, -1.0).otherwise(F.col("duration")))
+    # the sender counts the audio events that will be taken, and is one ahead now and then
+    fine = F.when((F.col("type") == "audio") & (F.col("event_id") % 7 != 0) & (F.col("event_id") % 11 != 0) & (F.col("event_id") % 17 != 0) & (F.col("value") >= 0), 1).otherwise(0)
+    before = Window.partitionBy("session_id").orderBy("arrival").rowsBetween(Window.unboundedPreceding, -1)
+    e = e.withColumn("sequence", F.coalesce(F.sum(fine).over(before), F.lit(0)) + F.when(F.col("event_id") % 17 == 0, 1).otherwise(0))
     e = e.withColumn("format", F.when(F.col("event_id") % 13 == 0, "mp3").otherwise(F.col("format")))
     return sessions.validated(e).select("session_id", "event_id", "type", "code")
 
@@ -187,7 +196,7 @@ def alignment_summary(spark, sf_dir):
 QUERIES = [
     filler_flags, filler_filter, word_normal_forms, srt_cues, vtt_cues, txt_lines, chunk_words, words_backfilled, chunk_stats, transcript_stats, edge_words,
     run_delta, recording_inventory, batch_windows, overlap_windows, window_words_concat, batch_totals, char_words, stamp_words, accumulated_final, event_deltas,
-    preview_changes, session_totals, chunk_event_pairs, session_metrics, flush_spans, partial_triggers, idle_sessions, event_validation, downmix, word_alignment, alignment_summary,
+    preview_changes, sequence_errors, session_totals, chunk_event_pairs, session_metrics, flush_spans, partial_triggers, idle_sessions, event_validation, downmix, word_alignment, alignment_summary,
 ]
 
 

@@ -13,6 +13,7 @@ FULL_RESULT = f"recording_id string, words {WORDS}, total_duration double, chunk
 CHUNK_RESULT = f"session_id string, chunk_index int, chunk_start double, chunk_duration double, words {WORDS}, partial boolean, processing_ms int"
 EVENT = f"type string, session_id string, sequence long, pts double, duration double, sample_rate int, channels int, format string, source string, pcm16_base64 string, up_to_time double, words {WORDS}, text string, word_count int, code string, message string, processing_ms int"
 EVENT_TYPES = ["start", "audio", "flush", "stop", "started", "partial", "final_words", "stopped", "error"]
+CHUNKS = 32
 RUN_SUMMARY = "session_id string, chunks_processed int, committed_words int, effective_audio_seconds double, elapsed_seconds double, audio_seconds_per_wall_second double, average_server_processing_ms double, max_server_processing_ms int, average_end_to_end_ms double, max_end_to_end_ms int"
 
 
@@ -26,16 +27,26 @@ def payloads(spark: SparkSession, path: str) -> DataFrame:
 
 
 def format_facts(files: DataFrame) -> DataFrame:
-    """(recording_id, content) to the facts in each WAV header; ok is false for what is no WAV or has a fact of 0."""
-    head = F.substring("content", 1, 44)
-    text = lambda at: F.decode(F.substring(head, at, 4), "US-ASCII")
-    le = lambda at, n: sum(F.conv(F.hex(F.substring(head, at + i, 1)), 16, 10).cast("long") * 256**i for i in range(n))
-    f = files.select(
-        "recording_id", le(25, 4).cast("int").alias("sample_rate"), le(23, 2).cast("int").alias("channels"), le(35, 2).cast("int").alias("bits"),
-        F.octet_length("content").cast("long").alias("size"), (text(1) == "RIFF").alias("riff"), (text(9) == "WAVE").alias("wave"),
-    )
-    ok = F.col("riff") & F.col("wave") & (F.col("size") >= 44) & (F.col("sample_rate") > 0) & (F.col("channels") > 0) & (F.col("bits") > 0)
-    return f.withColumn("ok", F.coalesce(ok, F.lit(False))).drop("riff", "wave")
+    """(recording_id, content) to the facts in each WAV header; ok is false for what is no WAV or has a fact of 0.
+
+    The format chunk is looked for behind up to CHUNKS other chunks, each of which names its own size."""
+    number = lambda at, n: " + ".join(f"cast(conv(hex(substring(content, {at} + {i}, 1)), 16, 10) as bigint) * {256**i}" for i in range(n))
+    size = number("(at + 5)", 4)
+    step = f"if(substring(content, at + 1, 4) = X'666D7420' or octet_length(content) < at + 8, at, at + 8 + ({size}) + ({size}) % 2)"
+    at = F.expr(f"aggregate(sequence(1, {CHUNKS}), 12L, (at, k) -> {step})")  # behind RIFF, the size and WAVE
+    text = lambda at, n=4: F.decode(F.substring("content", at, n), "US-ASCII")
+    f = files.withColumn("_at", at).withColumn("size", F.octet_length("content").cast("long"))
+    fact = lambda name, off, n: F.expr(number(f"cast(_at + {off} as int)", n)).cast("int").alias(name)
+    here = F.expr("substring(content, cast(_at + 1 as int), 4) = X'666D7420' and octet_length(content) >= _at + 24")
+    f = f.select("recording_id", fact("sample_rate", 13, 4), fact("channels", 11, 2), fact("bits", 23, 2), "size", (text(1) == "RIFF").alias("riff"), (text(9) == "WAVE").alias("wave"), here.alias("here"))
+    ok = F.col("riff") & F.col("wave") & F.col("here") & (F.col("sample_rate") > 0) & (F.col("channels") > 0) & (F.col("bits") > 0)
+    f = f.withColumn("ok", F.coalesce(ok, F.lit(False)))
+    return f.select("recording_id", *[F.when(F.col("here"), F.col(c)).alias(c) for c in ("sample_rate", "channels", "bits")], "size", "ok")
+
+
+def accepted_files(facts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Files with sound facts, and the table of rejects."""
+    return facts.where("ok").drop("ok"), facts.where("NOT ok").drop("ok")
 
 
 def full_results(spark: SparkSession, path: str) -> DataFrame:
@@ -67,6 +78,11 @@ def decoded_payload(events: DataFrame) -> DataFrame:
     return events.withColumn("pcm16", F.unbase64("pcm16_base64")).withColumn("n_bytes", F.octet_length("pcm16").cast("long")).drop("pcm16_base64")
 
 
+def encoded_payload(events: DataFrame) -> DataFrame:
+    """Audio events with their bytes as text, the inverse of decoded_payload."""
+    return events.withColumn("pcm16_base64", F.base64("pcm16")).drop("pcm16", "n_bytes")
+
+
 def store_words(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/words").orderBy("recording_id", "start_time", "word_id")
 

@@ -35,7 +35,7 @@ def write_txt(segments: DataFrame, path: str) -> None:
 
 def write_store(words: DataFrame, path: str) -> None:
     """words, chunks and chunk_words; a recording that is written again replaces itself."""
-    w = store.words_table(words)
+    w = store.words_table(words).withColumn("created_at", F.current_timestamp())
     c = store.chunks_table(words)
     links = store.chunk_words(w, c)
     for name, table in (("words", store.backfilled(w, links)), ("chunks", c), ("chunk_words", links)):

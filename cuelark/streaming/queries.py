@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -13,7 +14,11 @@ from . import transcripts as T
 
 
 def _folder(spark: SparkSession) -> str:
-    shared = spark.conf.get("spark.checkpoint.dir", "") or "file://" + tempfile.mkdtemp(prefix="spark-")
+    """In the cluster's shared folder; a temporary one in local mode only."""
+    shared = spark.conf.get("spark.checkpoint.dir", "")
+    if not shared and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    shared = shared or "file://" + tempfile.mkdtemp(prefix="spark-")
     return f"{shared.rstrip('/')}/streams/{uuid.uuid4().hex}"
 
 
@@ -41,7 +46,7 @@ def stream_accumulated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The session processor over the click events. No timers: they would keep a run that ends with its input going."""
-    e = X.session_events(spark, sf_dir).select(*[c.split()[0] for c in T.SESSION_EVENT.split(", ")])
+    e = X.session_events(spark, sf_dir).withColumn("connection", F.lit(None).cast("string")).select(*[c.split()[0] for c in T.SESSION_EVENT.split(", ")])
     return _run(spark, e.withColumn("arrival", F.col("arrival").cast("long")), T.SESSION_EVENT, lambda events: T.session_stream(events, 0))
 
 

@@ -1,8 +1,8 @@
 """Structured Streaming forms of the accumulator and of session handling, and the sinks that follow them.
 
-The processors keep one state row per session in the state store. Rows of a micro-batch are put in the order of
-their sequence (or arrival) before they are applied; what comes in a later batch is late, and the sequence rules
-and the session's last final time decide about it. There is no watermark: time is seconds of a recording, per
+The processors keep one state row per session in the state store. Rows of a micro-batch are applied in the order of their
+arrival, as those of all batches are, so that the result does not depend on where batches are cut; the sequence
+rules and the session's last final time decide about what comes late. There is no watermark: time is seconds of a recording, per
 session.
 """
 
@@ -17,12 +17,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions.words import joined
-from ..operators.accumulate import COMMITTED, State, apply_event
+from ..operators.accumulate import COMMITTED, State, applied
 
 WORD = "struct<word:string,start_time:double,end_time:double>"
 EVENT = f"session_id string, arrival long, type string, sequence long, up_to double, words array<{WORD}>"
-OUT = f"session_id string, {COMMITTED}, pending string"
-SESSION_EVENT = "session_id string, arrival long, type string, sequence long, pts double, duration double, sample_rate int, channels int, format string, n_bytes long"
+OUT = f"session_id string, {COMMITTED}"
+SESSION_EVENT = "session_id string, connection string, arrival long, type string, sequence long, pts double, duration double, sample_rate int, channels int, format string, n_bytes long"
 SESSION_OUT = "session_id string, arrival long, type string, sequence long, start double, up_to double, seconds double, code string"
 IDLE_MS = 300_000
 
@@ -36,19 +36,9 @@ class Accumulate(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         s = State(**json.loads(self.kept.get()[0])) if self.kept.exists() else State()
         s.committed, s.pending = [tuple(w) for w in s.committed], [tuple(w) for w in s.pending]
-        batch, out = pd.concat(list(rows)).sort_values(["sequence", "arrival"], kind="stable"), []
-        for r in batch.itertuples(index=False):
-            words = [(w["word"], w["start_time"], w["end_time"]) for w in r.words] if r.words is not None else []
-            at = s.n_committed
-            new, error = apply_event(s, r.type, int(r.sequence), float(r.up_to or 0.0), words)
-            preview = " ".join(w[0] for w in s.pending)
-            for k, w in enumerate(new):
-                out.append((key[0], r.sequence, at + k, *w, s.last_final, None, None))
-            if error or r.type == "partial":
-                out.append((key[0], r.sequence, None, None, None, None, s.last_final, error, preview))
+        made = applied(s, pd.concat(list(rows)), key[0])
         self.kept.update((json.dumps(s.__dict__),))
-        made = pd.DataFrame(out, columns=[c.split()[0] for c in OUT.split(", ")])
-        yield made.astype({"position": "Int32"})
+        yield made.rename(columns={"key": "session_id"})
 
     def close(self) -> None:
         pass
@@ -62,7 +52,8 @@ def accumulated_stream(events: DataFrame) -> DataFrame:
 class Sessions(StatefulProcessor):
     """start, audio, flush and stop events in; started, partial, final_words, stopped and error rows out.
 
-    A rejected event does not advance the expected sequence. A session without events for idle_ms is dropped.
+    A rejected event does not advance the expected sequence. A session without events for idle_ms is closed; events on its
+    connection then find no session, until another connection starts one.
     """
 
     def __init__(self, idle_ms: int = IDLE_MS, partial_seconds: float = 1.0):
@@ -84,12 +75,13 @@ class Sessions(StatefulProcessor):
             self.kept.clear()
         else:
             self.kept.update((json.dumps(s),))
-            if self.idle_ms > 0:
+            if self.idle_ms > 0 and not s.get("expired"):
                 self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.idle_ms + 1)
         yield pd.DataFrame(out, columns=[c.split()[0] for c in SESSION_OUT.split(", ")]).astype({"sequence": "Int64"})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.kept.clear()
+        s = json.loads(self.kept.get()[0]) if self.kept.exists() else {}
+        self.kept.update((json.dumps({"expired": True, "connection": s.get("connection")}),))
         yield pd.DataFrame([], columns=[c.split()[0] for c in SESSION_OUT.split(", ")])
 
     def close(self) -> None:
@@ -101,15 +93,21 @@ def step(s: dict | None, r, partial_seconds: float) -> tuple[dict | None, list[t
     row = lambda kind, sequence=None, start=None, up_to=None, seconds=None, code=None: (kind, sequence, start, up_to, seconds, code)
     fail = lambda code: (s, [row("error", code=code)])
     if r.type == "start":
-        if s is not None:
+        if s is not None and s.get("connection") is not None and s["connection"] == r.connection:
+            return fail("protocol-error")
+        if s is not None and not s.get("expired"):
             return fail("session-already-exists")
         if not (r.session_id or "").strip():
             return fail("invalid-session-id")
         if r.sample_rate <= 0 or r.channels <= 0 or r.format != "pcm_s16le":
             return fail("decoder-error")
-        return {"expected": 0, "size": 0, "pts": None, "final": 0.0, "frame": int(r.sample_rate) * int(r.channels) * 2}, [row("started")]
+        return {"connection": r.connection, "expected": 0, "size": 0, "pts": None, "final": 0.0, "frame": int(r.sample_rate) * int(r.channels) * 2}, [row("started")]
     if s is None:
         return fail("session-not-started")
+    if s.get("expired"):
+        return fail("session-not-found")
+    if r.type == "audio" and pd.isna(r.n_bytes):  # its payload could not be decoded
+        return fail("server-error")
     seconds = lambda: s["size"] / s["frame"]
     span = lambda: (s["final"] if s["pts"] is None else s["pts"], round(seconds(), 3))
     if r.type == "audio":
@@ -170,6 +168,21 @@ def rolling_overwrite(path: str, render: Callable[[DataFrame], DataFrame]):
     return run
 
 
+def summary_overwrite(path: str):
+    """For foreachBatch over updated metrics: one JSON file for each session of the batch, written anew."""
+
+    def run(batch: DataFrame, epoch: int) -> None:
+        batch.repartition("session_id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("session_id").json(path)
+
+    return run
+
+
+def paced(writer, seconds: float, speed: float = 1.0):
+    """A stream writer that takes a source's next files (of `seconds` of recording each trigger) at `speed` times their own
+    pace; with speed 0 it takes all there is, without pauses."""
+    return writer.trigger(processingTime=f"{round(1000 * seconds / speed)} milliseconds") if speed > 0 else writer.trigger(availableNow=True)
+
+
 def event_source(spark: SparkSession, path: str, schema: str = EVENT, files_a_trigger: int = 1) -> DataFrame:
     """JSON files of events as a stream; files_a_trigger paces a replay."""
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_a_trigger).json(path)

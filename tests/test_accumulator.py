@@ -57,5 +57,5 @@ def test_batch_form(spark):
     rows = [("s", 0, FINAL, 0, 0.65, w(("hello", 0.0, 0.3))), ("s", 1, FINAL, 1, 1.0, w(("hello", 0.0, 0.3), ("again", 0.66, 1.0))), ("s", 2, FINAL, 1, 2.0, w(("late", 1.5, 1.9))), ("t", 0, PARTIAL, 0, 0.0, None)]
     e = spark.createDataFrame(rows, "session_id string, arrival long, type string, sequence long, up_to double, words array<struct<word:string,start_time:double,end_time:double>>")
     got = accumulated(e).toPandas()
-    assert got[got.error.isna()].word.tolist() == ["hello", "again"] and got.error.notna().sum() == 1
+    assert got[got.word.notna()].word.tolist() == ["hello", "again"] and got.error.notna().sum() == 1 and got[got.pending.notna() & got.error.isna()].session_id.tolist() == ["t"]
     assert isinstance(got, pd.DataFrame)

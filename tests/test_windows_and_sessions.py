@@ -45,8 +45,14 @@ def test_recordings_slices_and_facts(spark, tmp_path):
     (tmp_path / "a.wav").write_bytes(wav(16000, 1, 3200))
     (tmp_path / "b.wav").write_bytes(wav(48000, 2, 400))
     (tmp_path / "c.wav").write_text("no audio")
+    d = wav(8000, 1, 100)
+    (tmp_path / "d.wav").write_bytes(d[:12] + b"LIST" + struct.pack("<I", 5) + b"fmt x\0" + d[12:])  # another chunk, padded, before the facts
+    (tmp_path / "e.wav").write_bytes(d[:20])
     facts = {x.recording_id[-5]: (x.sample_rate, x.channels, x.bits, x.ok) for x in feeds.format_facts(feeds.payloads(spark, str(tmp_path))).collect()}
     assert facts["a"] == (16000, 1, 16, True) and facts["b"] == (48000, 2, 16, True) and not facts["c"][3]
+    assert facts["d"] == (8000, 1, 16, True) and not facts["e"][3]
+    good, bad = feeds.accepted_files(feeds.format_facts(feeds.payloads(spark, str(tmp_path))))
+    assert (good.count(), bad.count()) == (3, 2)
     r = feeds.recordings(spark, f"{tmp_path}/a.wav")
     assert r.first().size == 3244
     w = windows.overlap_windows(r.selectExpr("recording_id", "1600L AS n_frames", "16000 AS rate"), 0.06, 0.01)
@@ -86,7 +92,7 @@ def test_spans_and_triggers(spark):
 
 class Row:
     def __init__(self, **k):
-        self.__dict__.update({"session_id": "s", "sequence": 0, "pts": 0.0, "duration": 0.0, "sample_rate": 16000, "channels": 1, "format": "pcm_s16le", "n_bytes": 0} | k)
+        self.__dict__.update({"session_id": "s", "connection": None, "sequence": 0, "pts": 0.0, "duration": 0.0, "sample_rate": 16000, "channels": 1, "format": "pcm_s16le", "n_bytes": 0} | k)
 
 
 def test_session_steps():
@@ -104,11 +110,24 @@ def test_session_steps():
     assert s is None and [x[0] for x in out] == ["final_words", "stopped"] and out[1][4] == 1.5
 
 
+def test_rejected_audio_does_not_advance_the_sequence(spark):
+    rows = [("s", i, "audio", q, p, d, 1, 1, "pcm_s16le") for i, (q, p, d) in enumerate([(0, 0.0, 1.0), (2, 0.0, 1.0), (1, -1.0, 1.0), (1, 0.0, -1.0), (1, 0.0, 1.0), (2, 0.0, 1.0)])]
+    e = spark.createDataFrame(rows, "session_id string, arrival int, type string, sequence long, pts double, duration double, sample_rate int, channels int, format string")
+    got = [r.code for r in sessions.validated(e).orderBy("arrival").collect()]
+    assert got == [None, "invalid-sequence", "invalid-pts", "invalid-duration", None, None]
+
+
 def test_idle_gap_is_strict(spark):
     e = spark.sql("SELECT * FROM VALUES ('s', 0, timestamp'2024-01-01 00:00:00'), ('s', 1, timestamp'2024-01-01 00:05:00'), ('s', 2, timestamp'2024-01-01 00:10:00.000001') t(session_id, arrival, ts)")
     assert [x.n_events for x in sessions.idle_sessions(e).orderBy("stretch").collect()] == [2, 1]
 
 
+def test_payloads_come_back(spark):
+    e = spark.createDataFrame([("s", bytearray(b"abc"))], "session_id string, pcm16 binary").selectExpr("*", "octet_length(pcm16) AS n_bytes")
+    back = feeds.decoded_payload(feeds.encoded_payload(e)).first()
+    assert bytes(back.pcm16) == b"abc" and back.n_bytes == 3
+
+
 def test_alignment(spark):
     w = lambda words: spark.createDataFrame([("r", i, x, i * 1.0, i + 0.5) for i, x in enumerate(words.split())], "recording_id string, i int, word string, start_time double, end_time double")
     a = analysis.aligned(w("one two three four"), w("One two, 3 four five"))
