@@ -84,7 +84,7 @@ def written(df: DataFrame, name: str, by: str | None = None, drop: tuple[DataFra
         spark.conf.set(CLEANED, before)
     _left.add(path)
     dropped(*drop)
-    out = spark.read.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
     out.written_to = path
     return out
 

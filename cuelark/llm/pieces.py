@@ -110,15 +110,13 @@ class Automaton:
         short = np.flatnonzero(lens <= LONGEST)
         short = short[np.argsort(-lens[short], kind="stable")]
         m, width = len(short), int(lens[short].max(initial=0))
-        text = np.zeros((width, m), np.uint8)
-        for k, u in enumerate(short):
-            text[: lens[u], k] = np.frombuffer(units[u], np.uint8)
+        raw, begin = np.frombuffer(b"".join(units), np.uint8), (np.cumsum(lens) - lens)[short]
         best = np.zeros((width + 1, m))
         last, size = np.zeros((width + 1, m), np.int32), np.ones((width + 1, m), np.int32)
         state, own = np.zeros(m, np.int32), -lens[short]
         for p in range(width):
             live = int(np.searchsorted(own, -p, "left"))  # units longer than p come first
-            b = text[p, :live]
+            b = raw[begin[:live] + p]
             state[:live] = self.goto[state[:live], b]
             most = np.full(live, -np.inf)
             which, long = np.zeros(live, np.int32), np.ones(live, np.int32)
