@@ -184,8 +184,8 @@ def behind(sentences, begins):
         last, word = n, (n,)
         for z in ids:
             got[(last,), z] += 1
-            got[("word", *word), z] += 1
-            word = (z,) if begins[z] or z == lm_scoring.END else (*word, z)
+            got[("word", *word), "B" if begins[z] else z] += 1
+            word = (z,) if begins[z] else (*word, z)
             last = z
     return got
 
@@ -193,15 +193,15 @@ def behind(sentences, begins):
 def some_ids(seed=2, n=60, lens=(50, 0, 1, 30, 200)):
     r = np.random.default_rng(seed)
     ids = [r.integers(0, n, k).astype(np.int32) for k in lens]
-    return np.concatenate(ids), np.concatenate([[0], np.cumsum(lens)]), r.random(n) < 0.4
+    return np.concatenate(ids), np.concatenate([[0], np.cumsum(lens)]), (r.random(n) < 0.4) | (np.arange(n) == lm_scoring.END)
 
 
 def neighbours(ids, ends, begins, least=1):
     n = len(begins)
     last = lm_scoring.before(ids, ends, n)
     found = collections.Counter()
-    for context in (last, lm_scoring.words_so_far(last, begins)):
-        found.update(zip(context.tolist(), ids.tolist(), strict=True))
+    for context, z in ((last, ids), (lm_scoring.words_so_far(last, begins), np.where(begins[ids], lm_scoring.BEGIN, ids))):
+        found.update(zip(context.tolist(), z.tolist(), strict=True))
     total = collections.Counter()
     for (c, _), k in found.items():
         total[c] += k
@@ -223,7 +223,7 @@ def test_words_so_far_tell_words_apart():
         for k in range(a, b):
             words.append(word)
             assert seen.setdefault(word, h[k]) == h[k]
-            word = (ids[k],) if begins[ids[k]] or ids[k] == lm_scoring.END else (*word, ids[k])
+            word = (ids[k],) if begins[ids[k]] else (*word, ids[k])
     assert len(set(seen.values())) == len(seen) == len(set(words))
 
 
@@ -231,10 +231,10 @@ def test_words_so_far_tell_words_apart():
 def test_probabilities_against_plain_counts(least):
     ids, ends, begins = some_ids(n=12)
     near, n, d = neighbours(ids, ends, begins, least), len(begins), lm_scoring.DISCOUNT
-    net = lm_scoring.Attention(*lm_scoring.classes(near.counts, *near.pairs()), near.counts)
+    net = lm_scoring.Attention(*lm_scoring.classes(near.counts, *near.pairs()), begins, near.counts)
     found = behind([ids[a:b].tolist() for a, b in zip(ends, ends[1:], strict=False)], begins)
     got = lm_scoring.log10_probs(net, near, ids, ends)
-    q = net.probs(ids, ends)
+    q, of_begins = net.probs(ids, ends)
 
     def part(context, z):
         total = sum(k for (c, _), k in found.items() if c == context)
@@ -245,15 +245,18 @@ def test_probabilities_against_plain_counts(least):
         last, word = n, (n,)
         for k in range(a, b):
             z = int(ids[k])
-            (one, left), (whole, over) = part((last,), z), part(("word", *word), z)
-            assert abs(10 ** got[k] - (whole + over * (one + left * q[k]))) < 1e-6
-            word, last = (z,) if begins[z] or z == lm_scoring.END else (*word, z), z
+            (one, left), (whole, over) = part((last,), z), part(("word", *word), "B" if begins[z] else z)
+            base = one + left * q[k]
+            if begins[z]:
+                whole *= base / (sum(part((last,), y)[0] for y in range(n) if begins[y]) + left * of_begins[k])
+            assert abs(10 ** got[k] - (whole + over * base)) < 1e-6
+            word, last = (z,) if begins[z] else (*word, z), z
 
 
 def test_model_is_causal_and_adds_up_to_one():
     ids, ends, begins = some_ids(lens=(50, 40), n=60)
     near = neighbours(ids, ends, begins, 1)
-    net = lm_scoring.Attention(*lm_scoring.classes(near.counts, *near.pairs()), near.counts)
+    net = lm_scoring.Attention(*lm_scoring.classes(near.counts, *near.pairs()), begins, near.counts)
     score = lambda x: lm_scoring.log10_probs(net, near, x.astype(np.int32), np.array([0, len(x)]))
     one, other = score(ids[:50]), ids[:50].copy()
     other[30:] = (other[30:] + 7) % 60
@@ -266,8 +269,8 @@ def test_attention_against_a_plain_loop():
     """Masked windows give what each id's own CONTEXT ids give."""
     ids, ends, begins = some_ids(5, lens=(70, 3))
     counts = np.bincount(ids, minlength=60)
-    net = lm_scoring.Attention(*lm_scoring.classes(counts), counts)
-    got, p, start = net.probs(ids, ends), net.p, 60
+    net = lm_scoring.Attention(*lm_scoring.classes(counts), begins, counts)
+    (got, of_begins), p, start = net.probs(ids, ends), net.p, 60
     for a, b in zip(ends, ends[1:], strict=False):
         for k in range(a, b):
             context = [ids[j] if j >= a else start for j in range(k - lm_scoring.CONTEXT, k)]
@@ -279,21 +282,23 @@ def test_attention_against_a_plain_loop():
             of = net.class_of[ids[k]]
             share = (counts[ids[k]] + 0.1) / sum(counts[j] + 0.1 for j in range(60) if net.class_of[j] == of)
             assert abs(got[k] - z[of] / z.sum() * share) < 1e-5
+            assert abs(of_begins[k] - sum(z[net.class_of[j]] / z.sum() * net.share[j] for j in range(60) if begins[j])) < 1e-5
 
 
 def test_attention_gradient():
     ids, ends, begins = some_ids(4, 200, (25, 40))
     near = neighbours(ids, ends, begins, 1)
-    net = lm_scoring.Attention(*lm_scoring.classes(near.counts), near.counts)
+    net = lm_scoring.Attention(*lm_scoring.classes(near.counts), begins, near.counts)
     w, place = net.windows_of(ids, ends, 200)
     ok = place >= 0
-    given, left = (x[place] for x in near.terms(ids, ends, 1))
+    terms = [x[place] for x in near.terms(ids, ends, 1)]
+    given, left = lm_scoring.combined(*terms, net.probs(ids, ends)[1][place])
 
     def loss():
-        q = net.probs(ids, ends)[place]
+        q = net.probs(ids, ends)[0][place]
         return -float((np.log(given + left * q) * ok).sum() / ok.sum())
 
-    grad = net._gradient(w, ok, given, left)
+    grad = net._gradient(w, ok, *terms)
     for name in ("own", "query", "key", "value", "distance", "out", "bias"):
         p, g = net.p[name].reshape(-1), grad[name].reshape(-1)
         k = int(np.abs(g).argmax())
