@@ -1,4 +1,5 @@
 import collections
+import hashlib
 import math
 import random
 import re
@@ -127,6 +128,41 @@ def test_mixing(docs):
     assert mix.columns == docs.columns and mix.count() == sum(r.copies for r in got)
 
 
+def test_inclusion_frequencies(spark):
+    """Over many seeds a document's copies come near what its size and its source's rate let expect, and so differ within a source."""
+    r = random.Random(3)
+    rows = [(i, "w " * r.choice([1, 3, 12, 50, 200, 600]), ["a", "b", "c"][min(i % 5, 2)], "") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, other string").repartition(1).cache()
+    seeds, copies, rate = 200, collections.Counter(), {}
+    parts = [mixing.mixed(docs, f"{k}-", bins=64).select("doc_id", "rate", "copies") for k in range(3)]
+    for part in parts:
+        for x in part.collect():
+            rate[x.doc_id] = x.rate
+            assert x.copies in (math.floor(x.rate), math.floor(x.rate) + 1)
+    size = {i: len(t.split()) for i, t, _, _ in rows}
+    of = {i: s for i, _, s, _ in rows}
+    for k in range(seeds):  # the same draw in plain Python
+        for source in "abc":
+            mine = [i for i in rate if of[i] == source and rate[i] % 1 > 0]
+            u = {i: int(hashlib.md5(f"{k}-{i}".encode()).hexdigest()[:13], 16) / 2**52 for i in mine}
+            q = {i: (u[i] / (1 - u[i])) / (rate[i] % 1 / (1 - rate[i] % 1)) for i in mine}
+            need, run = sum(rate[i] % 1 * size[i] for i in mine), 0
+            for i in sorted(mine, key=lambda i: (q[i], i)):
+                run += size[i]
+                copies[i] += run - size[i] / 2 <= need + 1e-6
+        if k < len(parts):
+            drawn = {x.doc_id: x.copies - math.floor(x.rate) for x in parts[k].collect()}
+            seen = collections.Counter(copies)
+            if k == 0:
+                assert all(drawn[i] == seen[i] for i in drawn)
+    for source in "abc":
+        fractions = {rate[i] % 1 for i in rate if of[i] == source}
+        assert len(fractions) > 3 or source == "a"  # which is full
+        for p in fractions - {0.0}:
+            same = [i for i in rate if of[i] == source and rate[i] % 1 == p]
+            assert abs(sum(copies[i] for i in same) / seeds / len(same) - p) < 0.08, (source, p)
+
+
 def test_targets_stop_at_three_times_a_source(spark):
     s = spark.createDataFrame([("a", 10), ("b", 1000), ("c", 90), (None, 100)], "source string, source_size long")
     got = {r.source: r.target for r in mixing.targets(s).collect()}
