@@ -30,7 +30,7 @@ class Entries(NamedTuple):
     """Entries of a sub-batch: doc is the row in it; state HIT for those that are settled already and not sent."""
 
     key: np.ndarray  # uint64
-    more: np.ndarray  # uint64
+    more: np.ndarray  # uint64, or nothing at all
     doc: np.ndarray
     place: np.ndarray
     state: np.ndarray
@@ -58,7 +58,8 @@ def _sent(extract: Callable[[list[bytes], np.ndarray], Entries], buckets: int, r
             settled = e.state != NOTHING
             if settled.any():
                 out.append((-1 - sub % buckets, b"", b"", uid[e.doc[settled]].tobytes(), e.place[settled].astype(np.int32).tobytes(), e.state[settled].astype(np.int8).tobytes()))
-            key, more, doc, place = (x[~settled] for x in e[:4])
+            key, doc, place = (x[~settled] for x in (e.key, e.doc, e.place))
+            more = e.more[~settled] if len(e.more) else e.more
             bucket = (key % np.uint64(buckets)).astype(np.int32)
             order = np.argsort(bucket, kind="stable")
             low = uid.min()
@@ -67,7 +68,7 @@ def _sent(extract: Callable[[list[bytes], np.ndarray], Entries], buckets: int, r
             kind = np.uint32 if len(uid) and uid.max() - low < 2**32 else np.int64
             head = np.array([low], np.int64).tobytes()
             edge = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            k, m, p = (key[order] // np.uint64(buckets)).astype(narrow), more[order], place[order].astype(np.int32)
+            k, m, p = (key[order] // np.uint64(buckets)).astype(narrow), more[order] if len(more) else more, place[order].astype(np.int32)
             for b in np.flatnonzero(np.diff(edge)):
                 s = slice(edge[b], edge[b + 1])
                 out.append((int(b), k[s].tobytes(), m[s].tobytes(), head + (planes(off[s]) if kind is np.uint32 else off[s].tobytes()), planes(p[s]), b""))

@@ -1,22 +1,21 @@
 """Suffix-array dedup: each byte that lies in a string of LENGTH bytes which also starts in a document with a smaller
 doc_id is removed.
 
-A suffix array of every position would move every byte LENGTH times. Most suffixes are first ruled out:
-
-1. Exact copies are told by SHA-256; all but the first of them go as a whole.
-2. Anchors: of the GRAM-byte strings in any LENGTH-byte window, those with the smallest hash. Windows with equal
-   bytes have equal anchors, so a repeated window repeats an anchor. `packed` looks all anchors up by their
-   gram, and by the hash of their context, the bytes of all windows that hold the gram. An anchor whose context
-   a smaller document has too is a hit: the whole context is covered. One whose gram stands in other documents
-   with another context stays open, and all others are settled.
-3. The open anchors' suffixes, with the REACH bytes before them, are range-partitioned by their leading bytes at sampled
-   splitters. Each bucket sorts its suffixes locally by multikey quicksort on eight-byte symbols, once for each
-   place of a window around the gram, and a window is covered if it is equal to one of a smaller document.
-   Suffixes with one gram meet in one bucket. Each of their contexts comes once, as step 2 has settled its repeats;
-   where there are over MOST of them nonetheless, their windows are dealt out by their own bytes and compared
-   across buckets.
-
-Documents with spans are joined with their text for the cut; the text is dealt once, into a bucketed table.
+A suffix array of every position would move every byte LENGTH times, so suffixes are thinned out first:
+
+1. Anchors: of the GRAM-byte strings in any LENGTH-byte window, those with the smallest hash. Windows with equal
+   bytes have equal anchors, so a repeated window repeats an anchor. `packed` looks all anchors up by their gram's
+   hash; those whose gram stands in one document alone are out.
+2. What decides is the order of the others' suffixes: LENGTH bytes from the anchor on and, to tell windows apart that begin
+   before it, the REACH bytes before it, read backwards. They are range-partitioned at sampled splitters by all of
+   these bytes and the document, so that a bucket has about A_BUCKET of them however often a string occurs. Each bucket sorts its suffixes
+   locally by multikey quicksort on eight-byte symbols. Of equal neighbours all but those of the smallest document are
+   covered as a whole. Of what is left, windows around one gram are sorted again at each distance from it, and a
+   window is covered if it is equal to one of a smaller document.
+3. A gram at either end of a bucket may go on in the next one. Its windows, of one document for each of its
+   different contexts, are compared across the buckets: each window's smallest document is found by an aggregation.
+
+The text is dealt once, into a bucketed table, and joined there with the places of its anchors and with its spans.
 """
 
 from __future__ import annotations
@@ -29,13 +28,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, keyed, shared_folder, small, written
+from .common import CLEANED, documents, dropped, keyed, shared_folder, small, written
 from .near_dedup import mixed_bits
-from .packed import HIT, OPEN, Entries, resolved
+from .packed import OPEN, Entries, resolved
 
 LENGTH, GRAM = 50, 24
 REACH = LENGTH - GRAM  # bytes before an anchor that a window can hold
-AT_ONCE, MOST = 20_000, 100_000
+A_BUCKET, FEW = 100_000, 64
+WIDTH = LENGTH + 1 + REACH + 1  # of a suffix's record: bytes from the anchor on, how many, bytes before it backwards, how many
 BUCKET_BYTES, BUCKETS = 2**25, 100_000
 
 _r = np.random.default_rng(71)
@@ -54,11 +54,11 @@ def sliding(x: np.ndarray, n: int, op) -> np.ndarray:
     return op(out[: len(out) - rest], out[rest:]) if rest else out
 
 
-def anchors(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(gram hash, context hash, document, place) of every anchor."""
+def anchors(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(gram hash, document, place) of every anchor."""
     sizes = np.array([len(t) for t in texts], np.int64)
     b = np.frombuffer(b"".join(texts), np.uint8)
-    none = np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    none = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     if len(b) < LENGTH:
         return none
     power = np.full(len(b) + 1, _P, np.uint64)
@@ -80,151 +80,173 @@ def anchors(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     padded = np.concatenate([np.zeros(REACH, np.uint64), low, np.zeros(REACH, np.uint64)])
     place = np.flatnonzero(sliding(padded, REACH + 1, np.maximum) == h)
     doc = np.searchsorted(ends, place, "right")
-    start, end = (ends - sizes)[doc], ends[doc]
-    inside = place + GRAM <= end
-    place, doc, start, end = place[inside], doc[inside], start[inside], end[inside]
-    a, z = np.maximum(place - REACH, start), np.minimum(place + LENGTH, end)
-    context = mixed_bits((total[z] - total[a]) * back[a] + ((place - a) * 128 + (z - a)).astype(np.uint64) * _P)
-    return h[place], context, doc, place - start
+    inside = place + GRAM <= ends[doc]
+    place, doc = place[inside], doc[inside]
+    return h[place], doc, place - (ends - sizes)[doc]
 
 
-def _smallest(order: np.ndarray, new: np.ndarray, doc: np.ndarray) -> np.ndarray:
-    """For entries in `order`, of which those marked `new` begin a group: the smallest doc of each entry's group."""
-    out = np.empty_like(doc)
-    if len(order):
-        first = np.flatnonzero(new)
-        out[order] = np.repeat(np.minimum.reduceat(doc[order], first), np.diff(np.append(first, len(order))))
-    return out
-
-
-def _grouped(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.lexsort(keys[::-1])
+def _spread(keys: np.ndarray, uid: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The order of the keys; for each entry whether its key stands in several documents, and whether it is the first or last
+    entry of its key in the order of documents."""
+    order = np.lexsort((uid, keys))
     new = np.ones(len(order), bool)
+    new[1:] = keys[order[1:]] != keys[order[:-1]]
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(order)) - 1
+    several, edge = np.zeros(len(order), bool), np.zeros(len(order), bool)
     if len(order):
-        new[1:] = np.any([k[order[1:]] != k[order[:-1]] for k in keys], axis=0)
-    return order, new
+        several[order] = np.repeat(uid[order[first]] != uid[order[last]], last - first + 1)
+        edge[order[first]] = edge[order[last]] = True
+    return order, several, edge
 
 
 def _entries(texts: list[bytes], uid: np.ndarray) -> Entries:
-    gram, context, doc, place = anchors(texts)
-    own = uid[doc]
-    return Entries(gram, context, doc, place, np.where(own > _smallest(*_grouped(context, gram), own), HIT, 0))
+    """Of a gram that stands in several documents of the sub-batch two entries are sent, and the others are settled."""
+    gram, doc, place = anchors(texts)
+    _, several, edge = _spread(gram, uid[doc])
+    return Entries(gram, np.zeros(0, np.uint64), doc, place, np.where(several & ~edge, OPEN, 0))
 
 
 def _decide(key, more, uid, place) -> np.ndarray:
-    state = np.where(uid > _smallest(*_grouped(key, more), uid), HIT, 0)
-    rest = np.flatnonzero(state == 0)
-    k, u = key[rest], uid[rest]
-    order, new = _grouped(k)
-    other = (u != _smallest(order, new, u)) | (-u != _smallest(order, new, -u))
-    state[rest[other]] = OPEN
-    return state
+    return np.where(_spread(key, uid)[1], OPEN, 0)
 
 
 def multikey_order(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The order of rows of big-endian symbols, and for each row in it whether it differs from the one before.
+    """The order of rows of symbols, and for each row in it whether it differs from the one before.
+
+    Multikey quicksort: a range is parted by one symbol into less, equal and greater; the equal ones go on
+    with the next symbol. Ranges of FEW rows are sorted at once."""
+    n, width = words.shape
+    order, new = np.arange(n), np.zeros(n + 1, bool)
+    new[0] = True
+    todo = [(0, n, 0)] if n > 1 else []
+    while todo:
+        a, z, depth = todo.pop()
+        rows = order[a:z]
+        if z - a <= FEW:
+            part = words[rows, depth:]
+            own = np.lexsort(part.T[::-1])
+            order[a:z] = rows[own]
+            new[a + 1 : z] = (part[own[1:]] != part[own[:-1]]).any(1)
+            continue
+        x = words[rows, depth]
+        pivot = np.sort(x[:: max(1, len(x) // 9)])[min(len(x), 9) // 2]
+        less, more = x < pivot, x > pivot
+        order[a:z] = np.concatenate([rows[less], rows[~(less | more)], rows[more]])
+        b, c = a + int(less.sum()), z - int(more.sum())
+        new[b] = new[c] = True
+        todo += [(i, j, d) for i, j, d in ((a, b, depth), (c, z, depth), (b, c, depth + 1)) if j - i > 1 and d < width]
+    return order, new[:n]
+
+
+def _symbols(raw: np.ndarray) -> np.ndarray:
+    """Rows of bytes as rows of eight-byte symbols."""
+    out = np.zeros((len(raw), -(-raw.shape[1] // 8) * 8), np.uint8)
+    out[:, : raw.shape[1]] = raw
+    return out.view(">u8").astype(np.uint64)
 
-    Sorts by the first symbol and then, within ties only, by the next."""
-    order = np.argsort(words[:, 0], kind="stable")
-    new = np.ones(len(order), bool)
-    new[1:] = words[order[1:], 0] != words[order[:-1], 0]
-    for k in range(1, words.shape[1]):
-        tied = ~new
-        tied[:-1] |= ~new[1:]
-        at = np.flatnonzero(tied)
-        if not len(at):
-            break
-        group = np.cumsum(new)[at]
-        rows = order[at]
-        rows = rows[np.lexsort((words[rows, k], group))]
-        order[at] = rows
-        differ = words[rows[1:], k] != words[rows[:-1], k]
-        new[at[1:]] |= differ & (np.diff(at) == 1)
-    return order, new
+
+def records(texts: list[bytes], doc: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """(len(doc), WIDTH): the suffix of each anchor with what stands before it."""
+    sizes = np.array([len(t) for t in texts], np.int64)
+    raw = np.frombuffer(b"".join([bytes(REACH), *texts, bytes(LENGTH)]), np.uint8)
+    at = (REACH + np.cumsum(sizes) - sizes)[doc] + place
+    n_right, n_left = np.minimum(sizes[doc] - place, LENGTH), np.minimum(place, REACH)
+    out = np.zeros((len(doc), WIDTH), np.uint8)
+    j, i = np.arange(LENGTH), np.arange(REACH)
+    out[:, :LENGTH] = raw[at[:, None] + j] * (j < n_right[:, None])
+    out[:, LENGTH] = n_right
+    out[:, LENGTH + 1 : -1] = raw[at[:, None] - 1 - i] * (i < n_left[:, None])
+    out[:, -1] = n_left
+    return out
 
 
 def _open_suffixes(batches):
-    """(uid, text, opens) to (lead, left, right, uid, place) of every open anchor."""
+    """(uid, text, opens) to (suffix, uid, place) of every open anchor."""
     for batch in small(batches):
-        out = []
-        for uid, text, opens in zip(*(batch.column(c).to_pylist() for c in ("uid", "text", "opens")), strict=True):
-            for a in np.frombuffer(opens, np.int32).tolist():
-                out.append((text[a : a + GRAM], text[max(a - REACH, 0) : a], text[a : a + LENGTH], uid, a))
-        cols = list(zip(*out, strict=True)) or [[]] * 5
-        kinds = (pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int32())
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["lead", "left", "right", "uid", "place"])
+        texts = [x or b"" for x in batch.column("text").to_pylist()]
+        places = [np.frombuffer(x, np.int32) for x in batch.column("opens").to_pylist()]
+        doc = np.repeat(np.arange(len(texts)), [len(x) for x in places])
+        place, uid = np.concatenate([*places, np.zeros(0, np.int32)]).astype(np.int64), batch.column("uid").to_numpy(zero_copy_only=False)
+        for k in range(0, len(doc), 16384):
+            d, p = doc[k : k + 16384], place[k : k + 16384]
+            offsets = np.arange(len(d) + 1, dtype=np.int32) * WIDTH
+            suffix = pa.Array.from_buffers(pa.binary(), len(d), [None, pa.py_buffer(offsets), pa.py_buffer(records(texts, d, p))])
+            yield pa.RecordBatch.from_arrays([suffix, pa.array(uid[d]), pa.array(p.astype(np.int32))], ["suffix", "uid", "place"])
 
 
 _SPANS = "uid long, start int, end int, window binary"
 
 
-def _spans(uid, start, end, window=None) -> pa.RecordBatch:
-    window = pa.nulls(len(uid), pa.binary()) if window is None else pa.array(window, pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array(uid, pa.int64()), pa.array(start, pa.int32()), pa.array(end, pa.int32()), window], ["uid", "start", "end", "window"])
+def _spans(uid, start, end, window=None):
+    for k in range(0, len(uid), 16384):
+        s = slice(k, k + 16384)
+        w = pa.nulls(len(uid[s]), pa.binary()) if window is None else pa.array(window[s], pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(uid[s], pa.int64()), pa.array(start[s].astype(np.int32)), pa.array(end[s].astype(np.int32)), w], ["uid", "start", "end", "window"])
+
+
+def _window(suffix: np.ndarray, k: int) -> np.ndarray:
+    """The LENGTH bytes that begin k bytes before the anchor."""
+    return np.concatenate([suffix[:, LENGTH + 1 : LENGTH + 1 + k][:, ::-1], suffix[:, : LENGTH - k]], 1)
+
 
+def _windows_of(suffix: np.ndarray, k: int) -> np.ndarray:
+    """Which rows have such a window."""
+    return np.flatnonzero((suffix[:, -1] >= k) & (suffix[:, LENGTH] >= LENGTH - k))
 
-def covered_windows(left: list[bytes], right: list[bytes], uid: np.ndarray) -> np.ndarray:
+
+def covered_windows(suffix: np.ndarray, uid: np.ndarray) -> np.ndarray:
     """(row, k): whether the window that starts k bytes before the row's gram is equal to one of a smaller uid, k being as far from theirs."""
-    n, width = len(uid), REACH + LENGTH
-    text = np.frombuffer(b"".join(x.rjust(REACH, b"\0") + y.ljust(LENGTH, b"\0") for x, y in zip(left, right, strict=True)), np.uint8).reshape(n, width)
-    n_left, n_right = np.array([len(x) for x in left]), np.array([len(x) for x in right])
-    out = np.zeros((n, REACH + 1), bool)
+    out = np.zeros((len(uid), REACH + 1), bool)
     for k in range(REACH + 1):
-        rows = np.flatnonzero((n_left >= k) & (n_right >= LENGTH - k))
+        rows = _windows_of(suffix, k)
         if len(rows):
-            window = np.zeros((len(rows), -(-LENGTH // 8) * 8), np.uint8)
-            window[:, :LENGTH] = text[rows, REACH - k : REACH - k + LENGTH]
-            order, new = multikey_order(window.view(">u8").astype(np.uint64))
-            out[rows, k] = uid[rows] > _smallest(order, new, uid[rows])
+            order, new = multikey_order(_symbols(_window(suffix[rows], k)))
+            first = np.flatnonzero(new)
+            least = np.minimum.reduceat(uid[rows][order], first)
+            out[rows[order], k] = uid[rows][order] > np.repeat(least, np.diff(np.append(first, len(rows))))
     return out
 
 
 def _compared(batches):
-    """Suffixes in the order of their lead to the spans that they cover."""
-    lead, left, right, uid, place = [], [], [], [], []
-
-    def compare(n: int):
-        u, p = np.array(uid[:n], np.int64), np.array(place[:n], np.int64)
-        hit = np.zeros((n, REACH + 3), np.int8)
-        hit[:, 1:-1] = covered_windows(left[:n], right[:n], u)
-        turn = np.diff(hit, axis=1)
-        row, first = np.nonzero(turn == 1)  # runs of k from first to last - 1
-        _, last = np.nonzero(turn == -1)
-        for x in (lead, left, right, uid, place):
-            del x[:n]
-        return _spans(u[row], p[row] - last + 1, p[row] - first + LENGTH)
-
-    def dealt(n: int):
-        rows = [(uid[i], place[i] - k, (left[i] + right[i])[len(left[i]) - k :][:LENGTH]) for i in range(n) for k in range(len(left[i]) + 1)]
-        rows = [r for r in rows if len(r[2]) == LENGTH]
-        for x in (lead, left, right, uid, place):
-            del x[:n]
-        return _spans([r[0] for r in rows], [r[1] for r in rows], [r[1] + LENGTH for r in rows], [r[2] for r in rows])
-
-    crowded = None  # a lead with more suffixes than are compared at once
-    for batch in batches:
-        for x, c in zip((lead, left, right, uid, place), ("lead", "left", "right", "uid", "place"), strict=True):
-            x += batch.column(c).to_pylist()
-        while crowded is not None and lead and lead[0] == crowded:
-            yield dealt(min(AT_ONCE, next((i for i, x in enumerate(lead) if x != crowded), len(lead))))
-        if len(lead) < AT_ONCE or (crowded is not None and not lead):
-            continue
-        cut = next((i for i in range(len(lead) - 1, 0, -1) if lead[i - 1] != lead[-1]), 0)
-        if cut:
-            yield compare(cut)
-        elif len(lead) > MOST:
-            crowded = lead[0]
-            while lead:
-                yield dealt(min(AT_ONCE, len(lead)))
-    if lead:
-        yield dealt(len(lead)) if lead[0] == crowded and lead[-1] == crowded else compare(len(lead))
-
-
-def removed_spans(n: int, hits: bytes | None, spans: list) -> list[tuple[int, int]]:
-    """Maximal runs from hits (anchors whose context is covered) and spans."""
-    every = [(max(int(a) - REACH, 0), min(int(a) + LENGTH, n)) for a in np.frombuffer(hits or b"", np.int32)] + [(s["start"], s["end"]) for s in spans or []]
+    """The suffixes of a bucket to the spans that they cover, and to the windows that are compared across buckets."""
+    got = [(np.frombuffer(b"".join(b.column("suffix").to_pylist()), np.uint8).reshape(-1, WIDTH), b.column("uid").to_numpy(), b.column("place").to_numpy()) for b in batches if len(b)]
+    if not got:
+        return
+    suffix, uid, place = (np.concatenate(x) for x in zip(*got, strict=True))
+    order, new = multikey_order(_symbols(suffix))
+    suffix, uid, place = suffix[order], uid[order], place[order].astype(np.int64)
+    first = np.flatnonzero(new)  # of each context
+    of = np.cumsum(new) - 1
+    least = np.minimum.reduceat(uid, first)
+    whole = uid > least[of]
+    yield from _spans(uid[whole], place[whole] - suffix[whole, -1], place[whole] + suffix[whole, LENGTH])
+    context = suffix[first]
+    lead = np.cumsum(np.append(True, (context[1:, :GRAM] != context[:-1, :GRAM]).any(1))) - 1
+    edge = (lead == 0) | (lead == lead[-1])
+    inner = np.flatnonzero(~edge & (np.bincount(lead)[lead] > 1))
+    hit = np.zeros((len(first), REACH + 3), np.int8)
+    hit[inner, 1:-1] = covered_windows(context[inner], least[inner])
+    turn = np.diff(hit, axis=1)
+    of_context, start = np.nonzero(turn == 1)  # runs of k from start to stop - 1
+    _, stop = np.nonzero(turn == -1)
+    mine = np.flatnonzero(~whole)  # every place of a context's smallest document
+    runs = np.bincount(of_context, minlength=len(first))
+    row = np.repeat(mine, runs[of[mine]])
+    run = np.arange(len(row)) - np.repeat(np.cumsum(runs[of[mine]]) - runs[of[mine]], runs[of[mine]]) + (np.cumsum(runs) - runs)[of[row]]
+    yield from _spans(uid[row], place[row] - stop[run] + 1, place[row] - start[run] + LENGTH)
+    mine = mine[edge[of[mine]]]
+    for a in range(0, len(mine), 4096):
+        rows = mine[a : a + 4096]
+        for k in range(REACH + 1):
+            some = rows[_windows_of(suffix[rows], k)]
+            yield from _spans(uid[some], place[some] - k, place[some] - k + LENGTH, [x.tobytes() for x in _window(suffix[some], k)])
+
+
+def removed_spans(spans: list) -> list[tuple[int, int]]:
+    """Maximal runs of spans."""
     out: list[list[int]] = []
-    for a, z in sorted(every):
+    for a, z in sorted((s["start"], s["end"]) for s in spans or []):
         if out and a <= out[-1][1]:
             out[-1][1] = max(out[-1][1], z)
         else:
@@ -232,28 +254,37 @@ def removed_spans(n: int, hits: bytes | None, spans: list) -> list[tuple[int, in
     return [tuple(x) for x in out]
 
 
+_CUT = "uid long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:int,end:int>>"
+
+
 def _cut(batches):
     for batch in small(batches):
         out = []
-        for uid, text, hits, spans in zip(*(batch.column(c).to_pylist() for c in ("uid", "text", "hits", "spans")), strict=True):
-            runs, at, rest = removed_spans(len(text), hits, spans), 0, hashlib.sha256()
+        for uid, text, spans in zip(*(batch.column(c).to_pylist() for c in ("uid", "text", "spans")), strict=True):
+            runs, at, rest = removed_spans(spans), 0, hashlib.sha256()
             for a, z in runs:
                 rest.update(text[at:a])
                 at = z
             rest.update(text[at:])
-            out.append((uid, sum(z - a for a, z in runs), len(runs), rest.hexdigest(), [{"start": a, "end": z} for a, z in runs]))
-        cols = list(zip(*out, strict=True)) or [[]] * 5
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["uid", "n_removed", "n_spans", "kept_sha256", "spans"])
+            out.append((uid, len(text), sum(z - a for a, z in runs), len(runs), rest.hexdigest(), [{"start": a, "end": z} for a, z in runs]))
+        cols = list(zip(*out, strict=True)) or [[]] * 6
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], [c.split()[0] for c in _CUT.split(", ")])
 
 
-def _dealt_texts(texts: DataFrame, firsts: DataFrame, n_bytes: int) -> DataFrame:
-    """(uid, text) of the rows in firsts, in a table bucketed by uid, so that joins on uid don't move texts again."""
+def _dealt_texts(texts: DataFrame, n_bytes: int) -> tuple[DataFrame, str]:
+    """(uid, text) in a table bucketed by uid, so that joins on uid don't move texts again, and the table's name."""
     n = int(min(BUCKETS, max(8, n_bytes // BUCKET_BYTES)))
     spark, name = texts.sparkSession, f"suffix_texts_{uuid.uuid4().hex}"
-    kept = texts.repartition(n, "uid").join(firsts.repartition(n, "uid").hint("merge"), "uid", "left_semi")
-    kept.write.option("compression", "zstd").bucketBy(n, "uid").option("path", f"{shared_folder(spark)}/tables/{name}").saveAsTable(name)
-    return spark.table(name)
+    before = spark.conf.get(CLEANED)
+    spark.conf.set(CLEANED, "true")
+    try:
+        texts.repartition(n, "uid").write.option("compression", "zstd").bucketBy(n, "uid").option("path", f"{shared_folder(spark)}/tables/{name}").saveAsTable(name)
+    finally:
+        spark.conf.set(CLEANED, before)
+    table = spark.table(name)
+    table.written_to = f"{shared_folder(spark)}/tables/{name}"
+    return table, name
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
@@ -264,31 +295,23 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     gives an empty result.
     """
     rows = keyed(docs, "text").select("doc_id", F.col("uid").cast("long").alias("uid"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
-    facts = written(rows.select("doc_id", "uid", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha")), "facts")
-    first = written(facts.groupBy("sha").agg(F.min("uid").alias("first")), "first")
-    facts = written(facts.join(first, "sha").withColumn("copy", (F.col("uid") != F.col("first")) & (F.col("n_bytes") >= LENGTH)).drop("first"), "facts")
-    whole = facts.where(f"NOT copy AND n_bytes >= {LENGTH}")
-    size = whole.agg(F.coalesce(F.sum("n_bytes"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("docs")).first()
-    texts = _dealt_texts(rows.select("uid", "text"), whole.select("uid"), size["n"])
-    found = written(resolved(texts, _entries, _decide, size["docs"], size=2**21, narrow=np.uint32), "anchors")
-    opened = texts.join(found.where("octet_length(opens) > 0").select("uid", "opens"), "uid").select("uid", "text", "opens")
-    suffixes = opened.mapInArrow(_open_suffixes, "lead binary, left binary, right binary, uid long, place int")
-    spans = suffixes.repartitionByRange("lead").sortWithinPartitions("lead").mapInArrow(_compared, _SPANS)
-    spans = written(spans, "spans")
-    dealt = spans.where("window IS NOT NULL")
-    least = dealt.groupBy("window").agg(F.min("uid").alias("least"))
-    more = dealt.join(least, "window").where("uid > least").select("uid", "start", "end")
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("docs")).first()
+    texts, name = _dealt_texts(rows.select("uid", "text"), size["n"])
+    long = texts.where(F.octet_length("text") >= LENGTH)
+    found = written(resolved(long, _entries, _decide, size["docs"], size=2**21, narrow=np.uint32).select("uid", "opens"), "anchors")
+    opened = found.agg(F.coalesce(F.sum(F.octet_length("opens")), F.lit(0)).alias("n")).first()["n"] // 4
+    suffixes = texts.join(found.hint("merge"), "uid").select("uid", "text", "opens").mapInArrow(_open_suffixes, "suffix binary, uid long, place int")
+    buckets = suffixes.repartitionByRange(opened // A_BUCKET + 1, "suffix", "uid")
+    spans = written(buckets.mapInArrow(_compared, _SPANS), "spans", drop=(found,))
+    across = spans.where("window IS NOT NULL")
+    least = across.groupBy("window").agg(F.min("uid").alias("least"))
+    more = across.join(least, "window").where("uid > least").select("uid", "start", "end")
     own = spans.where("window IS NULL").select("uid", "start", "end").unionByName(more)
-    own = own.groupBy("uid").agg(F.collect_list(F.struct("start", "end")).alias("spans"))  # at most one for each anchor of a text
-    parts = found.where("octet_length(hits) > 0").select("uid", "hits").join(own, "uid", "full")
-    cut = texts.join(parts, "uid").select("uid", "text", "hits", "spans").mapInArrow(_cut, "uid long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:int,end:int>>")
-    out = facts.join(cut, "uid", "left")
-    return out.select(
-        "doc_id", "n_bytes", F.when(F.col("copy"), F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
-        F.when(F.col("copy"), 1).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
-        F.when(F.col("copy"), hashlib.sha256().hexdigest()).otherwise(F.coalesce("kept_sha256", "sha")).alias("kept_sha256"),
-        F.when(F.col("copy"), F.array(F.struct(F.lit(0).alias("start"), F.col("n_bytes").cast("int").alias("end")))).otherwise(F.coalesce("spans", F.array().cast("array<struct<start:int,end:int>>"))).alias("spans"),
-    )
+    own = own.groupBy("uid").agg(F.collect_list(F.struct("start", "end")).alias("spans"))  # a few for each anchor of a text at most
+    cut = written(texts.join(own.hint("merge"), "uid", "left").select("uid", "text", "spans").mapInArrow(_cut, _CUT), "cut", drop=(spans,))
+    texts.sparkSession.sql(f"DROP TABLE {name}")
+    dropped(texts)
+    return rows.select("doc_id", "uid").join(cut, "uid").select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans")
 
 
 def op6_suffix_array_dedup(spark, sf_dir):

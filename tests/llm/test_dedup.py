@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import DOCS, corpus, edited, prose
 
@@ -119,41 +120,47 @@ def test_suffixes(docs):
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == brute_suffixes(texts_of(docs))
 
 
-def test_windows_of_a_common_passage(spark):
+@pytest.mark.parametrize("buckets", [1, 3, 40])
+def test_buckets_agree_with_brute_force(buckets):
+    """The order of suffixes is cut anywhere, within grams and within equal suffixes; windows are compared across the cuts."""
     r = random.Random(8)
     passage = prose(r, 30)
-    texts = {i: f"{prose(r, 12)}{passage}{prose(r, 12)}" for i in range(40)}
-    want = brute_suffixes(texts)
-    left, right, uid = [], [], []
-    for i, t in texts.items():
-        b = t.encode()
-        gram, context, doc, place = suffixes.anchors([b])
-        for a in place:
-            left.append(b[max(a - suffixes.REACH, 0) : a])
-            right.append(b[a : a + suffixes.LENGTH])
-            uid.append(i)
-    hit = suffixes.covered_windows(left, right, np.array(uid))
-    assert hit.any() and not hit[np.array(uid) == 0].any()
-    got = suffixes.without_repeats(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
-    assert {x.doc_id: (x.n_bytes, x.n_removed, x.n_spans, x.kept_sha256) for x in got} == want
-
-
-def test_crowded_leads_fall_back_to_windows(monkeypatch):
-    import pyarrow as pa
-
-    monkeypatch.setattr(suffixes, "AT_ONCE", 5)
-    monkeypatch.setattr(suffixes, "MOST", 10)
-    lead = b"L" * suffixes.GRAM
-    rows = [(lead, bytes([65 + k % 3]) * suffixes.REACH, lead + b"r" * suffixes.REACH, k, 100) for k in range(30)] + [(b"M" * suffixes.GRAM, b"", b"M" * suffixes.LENGTH, k, 0) for k in range(3)]
-    batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int32()), strict=True)], ["lead", "left", "right", "uid", "place"])
-    out = pa.Table.from_batches(list(suffixes._compared(iter([batch.slice(0, 12), batch.slice(12, 11), batch.slice(23)])))).to_pylist()
-    dealt = [x for x in out if x["window"] is not None]
-    assert len(dealt) == 30 * (suffixes.REACH + 1) and {x["uid"] for x in out if x["window"] is None} == {1, 2}
+    texts = {i: f"{prose(r, 12)}{passage}{prose(r, 12)}" for i in range(30)} | {i: "x" * 70 + prose(r, 3) + "x" * (90 + i) for i in range(30, 40)} | {40: passage, 41: passage}
+    raw = [t.encode() for t in texts.values()]
+    gram, doc, place = suffixes.anchors(raw)
+    suffix = suffixes.records(raw, doc, place)
+    order = sorted(range(len(doc)), key=lambda k: (suffix[k].tobytes(), doc[k]))
+    rows = []
+    for part in np.array_split(np.array(order), buckets):
+        b = pa.RecordBatch.from_arrays([pa.array([suffix[k].tobytes() for k in part], pa.binary()), pa.array(doc[part]), pa.array(place[part].astype(np.int32))], ["suffix", "uid", "place"])
+        rows += pa.Table.from_batches(list(suffixes._compared(iter([b.slice(0, 7), b.slice(7)]))) or [pa.RecordBatch.from_pylist([])]).to_pylist()
+    least = {}
+    for x in rows:
+        if x["window"] is not None:
+            least[x["window"]] = min(x["uid"], least.get(x["window"], x["uid"]))
+    gone = collections.defaultdict(set)
+    for x in rows:
+        if x["window"] is None or x["uid"] > least[x["window"]]:
+            gone[x["uid"]] |= set(range(x["start"], x["end"]))
+    seen = set()
+    for i, t in enumerate(raw):
+        windows = [t[k : k + 50] for k in range(len(t) - 49)]
+        assert gone[i] == {k + j for k, w in enumerate(windows) if w in seen for j in range(50)}
+        seen |= set(windows)
+
+
+def test_suffixes_over_many_buckets(spark, monkeypatch):
+    monkeypatch.setattr(suffixes, "A_BUCKET", 40)
+    r = random.Random(9)
+    passage = prose(r, 40)
+    rows = [(i, f"{prose(r, 20)}{passage}{prose(r, 5)}" if i % 3 else "ab" * (40 + i)) for i in range(60)]
+    got = suffixes.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {x.doc_id: (x.n_bytes, x.n_removed, x.n_spans, x.kept_sha256) for x in got} == brute_suffixes(dict(rows))
 
 
 def test_multikey_order():
     r = np.random.default_rng(0)
-    w = r.integers(0, 3, (500, 4)).astype(np.uint64)
+    w = r.integers(0, 3, (5000, 6)).astype(np.uint64)
     order, new = suffixes.multikey_order(w)
     rows = [tuple(x) for x in w[order].tolist()]
     assert rows == sorted(rows) and new.tolist() == [k == 0 or rows[k] != rows[k - 1] for k in range(len(rows))]
