@@ -12,8 +12,8 @@ A suffix array of every position would move every byte LENGTH times, so suffixes
    locally by multikey quicksort on eight-byte symbols. Of equal neighbours all but those of the smallest document are
    covered as a whole. Of what is left, windows around one gram are sorted again at each distance from it, and a
    window is covered if it is equal to one of a smaller document.
-3. A gram at either end of a bucket may go on in the next one. Its windows, of one document for each of its
-   different contexts, are compared across the buckets: each window's smallest document is found by an aggregation.
+3. A gram at either end of a bucket may go on in the next one. Those of its windows that the bucket leaves, each of
+   the smallest document there, are compared across the buckets: an aggregation finds each window's smallest document.
 
 The text is dealt once, into a bucketed table, and joined there with the places of its anchors and with its spans.
 """
@@ -224,7 +224,7 @@ def _compared(batches):
     context = suffix[first]
     lead = np.cumsum(np.append(True, (context[1:, :GRAM] != context[:-1, :GRAM]).any(1))) - 1
     edge = (lead == 0) | (lead == lead[-1])
-    inner = np.flatnonzero(~edge & (np.bincount(lead)[lead] > 1))
+    inner = np.flatnonzero(np.bincount(lead)[lead] > 1)
     hit = np.zeros((len(first), REACH + 3), np.int8)
     hit[inner, 1:-1] = covered_windows(context[inner], least[inner])
     turn = np.diff(hit, axis=1)
@@ -240,6 +240,7 @@ def _compared(batches):
         rows = mine[a : a + 4096]
         for k in range(REACH + 1):
             some = rows[_windows_of(suffix[rows], k)]
+            some = some[hit[of[some], k + 1] == 0]
             yield from _spans(uid[some], place[some] - k, place[some] - k + LENGTH, [x.tobytes() for x in _window(suffix[some], k)])
 
 
