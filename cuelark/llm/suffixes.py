@@ -25,7 +25,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import CLEANED, documents, dropped, keyed, shared_folder, small, written
@@ -34,7 +34,7 @@ from .packed import OPEN, Entries, resolved
 
 LENGTH, GRAM = 50, 24
 REACH = LENGTH - GRAM  # bytes before an anchor that a window can hold
-A_BUCKET, FEW = 100_000, 64
+A_BUCKET, FEW = 100_000, 512
 WIDTH = LENGTH + 1 + REACH + 1  # of a suffix's record: bytes from the anchor on, how many, bytes before it backwards, how many
 BUCKET_BYTES, BUCKETS = 2**25, 100_000
 
@@ -305,8 +305,8 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     buckets = suffixes.repartitionByRange(opened // A_BUCKET + 1, "suffix", "uid")
     spans = written(buckets.mapInArrow(_compared, _SPANS), "spans", drop=(found,))
     across = spans.where("window IS NOT NULL")
-    least = across.groupBy("window").agg(F.min("uid").alias("least"))
-    more = across.join(least, "window").where("uid > least").select("uid", "start", "end")
+    least = F.min("uid").over(Window.partitionBy("window"))  # a bucket sends a window for one document at most
+    more = across.withColumn("least", least).where("uid > least").select("uid", "start", "end")
     own = spans.where("window IS NULL").select("uid", "start", "end").unionByName(more)
     own = own.groupBy("uid").agg(F.collect_list(F.struct("start", "end")).alias("spans"))  # a few for each anchor of a text at most
     cut = written(texts.join(own.hint("merge"), "uid", "left").select("uid", "text", "spans").mapInArrow(_cut, _CUT), "cut", drop=(spans,))
