@@ -152,14 +152,15 @@ def _sampled_chunks(batches):
 
 
 def trained(docs: DataFrame, labels: DataFrame, folds: int = FOLDS) -> Network:
-    """A network fitted on the bounded sample; unfitted where no usable row is labelled."""
-    usable = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).where(~held_out(folds) & F.col("doc_id").isNotNull())
+    """A network fitted on the bounded sample; unfitted where no usable row is labelled. Of several labels of one doc_id the
+    lowest counts."""
+    usable = labels.where(~held_out(folds) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min(F.col("quality").cast("int")).alias("quality"))
     sample = None
     for q in (0, 1):
         one = usable.where(F.col("quality") == q).orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_PER_LABEL)
         sample = one if sample is None else sample.unionByName(one)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample.dropDuplicates(["doc_id"])), "doc_id")  # 2 * TRAIN_PER_LABEL rows at most
+    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")  # 2 * TRAIN_PER_LABEL rows at most
     got = rows.mapInArrow(_sampled_chunks, f"doc_id {kind}, quality int, chunks binary").orderBy("doc_id", "chunks").limit(2 * TRAIN_PER_LABEL).collect()
     net = Network()
     if got:

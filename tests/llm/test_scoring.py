@@ -76,6 +76,13 @@ def test_classifier_on_held_out_rows(labelled):
     assert np.mean([r.predicted == 1 - r.doc_id % 2 for r in held]) > 0.9
 
 
+def test_the_lowest_of_several_labels_counts(spark, labelled):
+    docs, labels = labelled
+    doubled = labels.unionByName(labels.selectExpr("doc_id", "1 AS quality", "0 AS toxic"))
+    one, other = (quality_classifier.trained(docs, x).p for x in (labels, doubled))
+    assert all(np.array_equal(one[k], other[k]) for k in one)
+
+
 def test_chunks_cover_a_text():
     for n in (0, 1, 511, 512, 513, 960, 961, 5000):
         text = bytes(random.Random(n).randrange(1, 256) for _ in range(n))
