@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, licenses, lm_scoring, mixing, near_dedup, pieces, quality_classifier, quality_rules, sentence_spans, suffixes
+from . import exact_dedup, hard_negatives, licenses, lm_scoring, mixing, near_dedup, pieces, quality_classifier, quality_rules, sentence_spans, suffixes
 
 
 def queries() -> dict:
@@ -17,6 +17,7 @@ def queries() -> dict:
         "op8_exact_dedup": exact_dedup.op8_exact_dedup,
         "op9_sentencepiece": pieces.op9_sentencepiece,
         "op10_lm_scoring": lm_scoring.op10_lm_scoring,
+        "op11_hard_negatives": hard_negatives.op11_hard_negatives,
     }
 
 
@@ -25,4 +26,5 @@ def oracle_sql() -> dict[str, str]:
         "op2_license_scan": licenses.SQL,
         "op4_source_mixing": mixing.SQL,
         "op8_exact_dedup": exact_dedup.SQL,
+        "op11_hard_negatives": hard_negatives.SQL,
     }
