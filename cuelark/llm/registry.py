@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, hard_negatives, licenses, lm_scoring, mixing, near_dedup, pieces, quality_classifier, quality_rules, sentence_spans, suffixes
+from . import exact_dedup, hard_negatives, language_id, lexical_search, licenses, lm_scoring, mixing, near_dedup, pieces, quality_classifier, quality_rules, sentence_spans, suffixes
 
 
 def queries() -> dict:
@@ -18,6 +18,8 @@ def queries() -> dict:
         "op9_sentencepiece": pieces.op9_sentencepiece,
         "op10_lm_scoring": lm_scoring.op10_lm_scoring,
         "op11_hard_negatives": hard_negatives.op11_hard_negatives,
+        "op12_language_id": language_id.op12_language_id,
+        "op13_lexical_search": lexical_search.op13_lexical_search,
     }
 
 
@@ -27,4 +29,5 @@ def oracle_sql() -> dict[str, str]:
         "op4_source_mixing": mixing.SQL,
         "op8_exact_dedup": exact_dedup.SQL,
         "op11_hard_negatives": hard_negatives.SQL,
+        "op13_lexical_search": lexical_search.SQL,
     }
