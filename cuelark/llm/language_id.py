@@ -13,6 +13,7 @@ out of the fit; these set one temperature, which divides all logits, so that sco
 
 from __future__ import annotations
 
+import math
 import re
 from dataclasses import dataclass
 
@@ -25,6 +26,7 @@ from .common import bounded, documents, small
 
 ORDERS, BUCKETS, PIECE = 4, 2**16, 2**20
 TRAIN_TOTAL, TRAIN_BYTES, LANGUAGES, EPOCHS, VALIDATION = 2400, 2**26, 128, 3, 5
+PARTS, SURPLUS = 2**20, 8
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.02
 FOLDS, HELD_OUT = 4, 2
 UNKNOWN = "und"
@@ -172,21 +174,26 @@ def fitted(rows: list[tuple[str, str]], idf: np.ndarray, epochs: int = EPOCHS, s
 
 
 def sampled(known: DataFrame) -> list[tuple[str, str]]:
-    """The bounded sample as (text, lang); equal rows count once. Only hashes and sizes are ordered, and Spark limits each
-    language's before the shuffle."""
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
-    langs = [r["lang"] for r in counts.collect()]
-    if not langs:
+    """The bounded sample as (text, lang); equal rows count once.
+
+    Rows are ordered by a hash. Of a language with many rows those with a small share of the hash's values are looked at, about SURPLUS
+    times as many as are needed, so that no task orders a frequent language.
+    """
+    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    if not counts:
         return []
-    each, most = max(1, TRAIN_TOTAL // len(langs)), TRAIN_BYTES // len(langs)
+    each, most = max(1, TRAIN_TOTAL // len(counts)), TRAIN_BYTES // len(counts)
+    spark = known.sparkSession
+    shares = spark.createDataFrame([(c["lang"], math.ceil(PARTS * min(1.0, SURPLUS * each / c["count"]))) for c in counts], "lang string, share long")
     h = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "text")
-    rows = known.where(F.col("lang").isin(langs) & (F.octet_length("text") <= most)).select("lang", "text", h.alias("h"))
-    order = Window.partitionBy("lang").orderBy("h")
-    first = rows.select("lang", "h", F.octet_length("text").cast("long").alias("size")).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= each)
-    first = first.where(F.col("size") <= most).withColumn("upto", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0))).where(F.col("upto") <= most)
-    first = first.select("lang", "h").distinct()  # TRAIN_TOTAL rows at most, as LANGUAGES is less
-    got = rows.join(F.broadcast(first), ["lang", "h"]).dropDuplicates(["lang", "h"]).orderBy("h", "lang").limit(TRAIN_TOTAL).collect()
-    return [(r["text"], r["lang"]) for r in got]
+    rows = known.where(F.octet_length("text") <= most).select("lang", "text", h.alias("h"))
+    rows = rows.join(F.broadcast(shares), "lang").where(F.pmod("h", F.lit(PARTS)) < F.col("share")).drop("share")  # LANGUAGES rows
+    order = Window.partitionBy("lang").orderBy(F.pmod("h", F.lit(PARTS)), "h")  # a smaller share cuts off the end of this order
+    sizes = rows.select("lang", "h", F.octet_length("text").cast("long").alias("size")).groupBy("lang", "h").agg(F.min("size").alias("size"))
+    first = sizes.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= each)
+    first = first.withColumn("upto", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0))).where(F.col("upto") <= most)
+    got = rows.join(F.broadcast(first.select("lang", "h")), ["lang", "h"]).dropDuplicates(["lang", "h"])  # TRAIN_TOTAL rows at most
+    return [(r["text"], r["lang"]) for r in got.orderBy("h", "lang").collect()]
 
 
 def trained(docs: DataFrame) -> Model:

@@ -6,8 +6,8 @@ the last document and the greatest impact of each block beside them. Impacts nee
 a first pass counts; weights need each term's document frequency, which the shards are asked for by block of queries.
 
 `searched` pairs every block of queries with every shard, as rows of an equality join. In a shard, a query's terms are put in the
-order of their global bounds; the smallest, whose bounds together stay below the score that the heap asks for, are
-non-essential: documents are only looked for in the other lists. Candidates are then led through the non-essential
+order of their global bounds. The greatest are essential and unpacked whole, until the bounds of the rest together stay below the
+score that a document must reach; documents are only looked for in the essential lists. Candidates are then led through the non-essential
 lists from the largest bound down, and the maxima of their blocks reject most of them before a block is unpacked. A task's
 heap goes from shard to shard, so that later ones start with a threshold; a window function merges the tasks' heaps.
 """
@@ -215,22 +215,23 @@ def search(s: Shard, terms: np.ndarray, weights: np.ndarray, heaps: Heaps, slot:
     bound = w * s.greatest[t]
     order = np.argsort(bound, kind="stable")
     t, w, upto = t[order], w[order], np.cumsum(bound[order])
-    asked = lambda scores: max(1, int(np.partition(scores, -size)[-size])) if len(scores) >= size else 1
-    size = heaps.score.shape[1]
-    need = max(1, int(heaps.score[slot, -1]))  # an equal score may still win by its doc_id
-    split = int(np.searchsorted(upto, need))  # lists before it cannot reach `need` together
-    if split == len(t):
-        return 0
-    n_blocks = s.first[t + 1] - s.first[t]
-    lists = np.repeat(np.arange(split, len(t)), n_blocks[split:])
-    blocks = np.concatenate([np.arange(s.first[x], s.first[x + 1]) for x in t[split:]])
-    of, doc, hit = s.unpacked(blocks)
-    unpacked, score = len(doc), np.zeros(len(s.ids), np.int64)
-    np.add.at(score, doc, w[lists][of] * hit)
-    c = np.flatnonzero(score)
+    size, unpacked, k = heaps.score.shape[1], 0, len(t) - 1
     held = heaps.score[slot][heaps.score[slot] != NONE]
-    for k in range(split - 1, -1, -1):
-        need = max(need, asked(np.concatenate([held, score[c]])))
+    need = max(1, int(heaps.score[slot, -1]))  # an equal score may still win by its doc_id
+    score, c = np.zeros(len(s.ids), np.int64), np.zeros(0, np.int64)
+
+    def asked() -> int:
+        """The score that a document must reach, by what the heap holds and the candidates have so far."""
+        have = np.concatenate([held, score[c]])
+        return max(need, int(np.partition(have, -size)[-size])) if len(have) >= size else need
+
+    while k >= 0 and upto[k] >= need:  # this list and those before it could reach `need` together: it is essential
+        _, doc, hit = s.unpacked(np.arange(s.first[t[k]], s.first[t[k] + 1]))
+        unpacked += len(doc)
+        score[doc] += w[k] * hit  # a document comes once in a list
+        c = np.flatnonzero(score)
+        need, k = asked(), k - 1
+    for k in range(k, -1, -1):
         c = c[score[c] + upto[k] >= need]
         if not len(c):
             return unpacked
@@ -243,7 +244,8 @@ def search(s: Shard, terms: np.ndarray, weights: np.ndarray, heaps: Heaps, slot:
         if len(block):
             _, doc, hit = s.unpacked(np.unique(block))
             unpacked += len(doc)
-            score[doc] += w[k] * hit  # a document comes once in a list; those that are no candidates are not read again
+            score[doc] += w[k] * hit  # those that are no candidates any more are not read again
+            need = asked()
     c = c[score[c] >= need]
     heaps.merge(score[None, c], s.ids[None, c], np.array([slot]))
     return unpacked

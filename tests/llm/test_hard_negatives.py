@@ -53,7 +53,7 @@ def vectors(seed: int, n: int, values: int = 0) -> list[tuple]:
 
 @pytest.mark.parametrize("values", [0, 2])
 def test_equals_brute_force(spark, monkeypatch, values):
-    monkeypatch.setattr(H, "CANDIDATE_TILE", 50)
+    """Anchors of several tiles meet the candidate tiles of several tasks."""
     monkeypatch.setattr(H, "ANCHOR_TILE", 2)
     rows = vectors(3, 640, values)
     assert len(want := brute(rows)) > 150 and mined(spark, rows) == want
