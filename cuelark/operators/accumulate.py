@@ -80,20 +80,30 @@ def apply_event(state: State, kind: str, sequence: int, up_to: float, words) ->
     return new, None
 
 
+def full_words(words) -> list[tuple[str, float, float]]:
+    """An event's words as tuples, without those that lack a text, a start or an end."""
+    rows = [(w["word"], w["start_time"], w["end_time"]) for w in words] if words is not None else []
+    return [w for w in rows if not any(x is None or x != x for x in w)]
+
+
 COMMITTED = "arrival long, sequence long, position int, word string, start_time double, end_time double, last_final double, error string, pending string"
 
 
 def applied(state: State, rows: pd.DataFrame, key) -> pd.DataFrame:
-    """Rows of one session in the order of arrival, which alone counts: sequences are checked against what came before.
-    One row for each committed word, for each error, and for each partial event with what is then pending."""
-    out = []
+    """Rows of one session in the order of arrival, which alone counts: sequences are checked against what came before, unless
+    rows say in `error` what that check has found. A null sequence is not checked. Words without a text, a start or an end
+    do not count. One row for each committed word, for each error, and for each partial event with what is then pending."""
+    out, known = [], "error" in rows.columns
     for r in rows.sort_values("arrival", kind="stable").itertuples(index=False):
-        words = [(w["word"], w["start_time"], w["end_time"]) for w in r.words] if r.words is not None else []
-        at = state.n_committed
-        new, error = apply_event(state, r.type, int(r.sequence), 0.0 if pd.isna(r.up_to) else float(r.up_to), words)
-        out += [(key, r.arrival, r.sequence, at + k, *w, state.last_final, None, None) for k, w in enumerate(new)]
+        words = full_words(r.words)
+        at, sequence = state.n_committed, -1 if pd.isna(r.sequence) else int(r.sequence)
+        if known and not pd.isna(r.error):
+            new, error = [], r.error
+        else:
+            new, error = apply_event(state, r.type, -1 if known else sequence, 0.0 if pd.isna(r.up_to) else float(r.up_to), words)
+        out += [(key, r.arrival, sequence, at + k, *w, state.last_final, None, None) for k, w in enumerate(new)]
         if error or r.type == PARTIAL:
-            out.append((key, r.arrival, r.sequence, None, None, None, None, state.last_final, error, " ".join(w[0] for w in state.pending)))
+            out.append((key, r.arrival, sequence, None, None, None, None, state.last_final, error, " ".join(w[0] for w in state.pending)))
     return pd.DataFrame(out, columns=["key", *[c.split()[0] for c in COMMITTED.split(", ")]]).astype({"position": "Int32"})
 
 

@@ -44,7 +44,7 @@ def session_metrics(chunks: DataFrame, elapsed: DataFrame | None = None) -> Data
     """(session_id, sequence, start, duration, committed, server_ms, end_to_end_ms) to one row per session."""
     m = chunks.groupBy("session_id").agg(
         F.count(F.lit(1)).alias("chunks"), F.max_by("committed", "sequence").alias("committed_words"), rounded(F.greatest(F.max(F.col("start") + F.col("duration")), F.lit(0.0))).alias("audio_seconds"),
-        rounded(F.avg("server_ms")).alias("avg_server_ms"), F.max("server_ms").alias("max_server_ms"),
+        F.sum("server_ms").alias("sum_server_ms"), rounded(F.avg("server_ms")).alias("avg_server_ms"), F.max("server_ms").alias("max_server_ms"),
         rounded(F.avg("end_to_end_ms")).alias("avg_end_to_end_ms"), F.max("end_to_end_ms").alias("max_end_to_end_ms"),
     )
     if elapsed is None:

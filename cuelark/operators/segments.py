@@ -1,27 +1,49 @@
 """Subtitle segments and cues from words.
 
-Words are rows (recording_id, i, word, start_time, end_time), i being the place in the recording. A segment takes
+Words are rows (recording_id, i, word, start_time, end_time), i being the place in the recording, from 0. A segment takes
 words until one ends a sentence and the segment has lasted over 0.5 s, or it has lasted over `max_seconds`, or its
 text has over `max_bytes` bytes; the word that does so is its last. The words behind the last split form an open
-segment, whose end is 0, or the end of its last word with close_tail.
+segment, whose end is 0, or the end of its last word with close_tail. A null word counts as an empty one.
+
+Recordings of up to FOLD_WORDS words are folds in the JVM. Longer ones are cut into blocks of words. A segment has at most
+`reach` words, so a block can only begin in the middle of one at its first `reach` places; for each of these the block tells where its
+chain of segments leaves it and how many segments it passed: a table of jumps. Jumps of neighbouring blocks compose, and a
+scan over the blocks finds each one's true entry, so that no task ever holds more than a block.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.words import clock
+from .scan import exclusive
 
 SEGMENTS = "array<struct<start_time:double,end_time:double,text:string,n_words:int>>"
+SEGMENT = "segment int, start_time double, end_time double, text string, n_words int"
+FOLD_WORDS, BLOCK_WORDS = 4096, 8192
+SHORTEST = 0.5  # seconds a segment must have lasted for a sentence to end it
 
 
 def build_segments(words: DataFrame, max_seconds: float = 15.0, max_bytes: int = 120, close_tail: bool = False) -> DataFrame:
-    """(recording_id, segment, start_time, end_time, text, n_words), segments counted from 1; a fold in the JVM over each recording."""
-    rows = words.groupBy("recording_id").agg(F.array_sort(F.collect_list(F.struct("i", "word", "start_time", "end_time"))).alias("words"))
+    """(recording_id, segment, start_time, end_time, text, n_words), segments counted from 1. Which recordings are long is asked
+    of Spark first, by their words' places alone."""
+    long = words.where(F.col("i") == FOLD_WORDS).select("recording_id").distinct()
+    if long.isEmpty():
+        return folded_segments(words, max_seconds, max_bytes, close_tail)
+    short = folded_segments(words.join(long, "recording_id", "left_anti"), max_seconds, max_bytes, close_tail)
+    return short.unionByName(block_segments(words.join(long, "recording_id", "left_semi"), max_seconds, max_bytes, close_tail))
+
+
+def folded_segments(words: DataFrame, max_seconds: float = 15.0, max_bytes: int = 120, close_tail: bool = False) -> DataFrame:
+    """build_segments as one fold over each recording."""
+    word = F.coalesce("word", F.lit("")).alias("word")
+    rows = words.groupBy("recording_id").agg(F.array_sort(F.collect_list(F.struct("i", word, "start_time", "end_time"))).alias("words"))
     start = "coalesce(s.start, w.start_time)"
     text = "if(s.text is null, w.word, concat(s.text, ' ', w.word))"
-    split = f"(substring(w.word, -1, 1) in ('.', '?', '!') and w.end_time - {start} > 0.5D) or w.end_time - {start} > {max_seconds}D or octet_length({text}) > {max_bytes}"
+    split = f"(substring(w.word, -1, 1) in ('.', '?', '!') and w.end_time - {start} > {SHORTEST}D) or w.end_time - {start} > {max_seconds}D or octet_length({text}) > {max_bytes}"
     step = (
         f"if({split}, named_struct('done', concat(s.done, array(named_struct('start_time', {start}, 'end_time', w.end_time, 'text', {text}, 'n_words', s.n + 1))), "
         "'start', cast(null as double), 'text', cast(null as string), 'n', 0, 'last', w.end_time), "
@@ -34,6 +56,86 @@ def build_segments(words: DataFrame, max_seconds: float = 15.0, max_bytes: int =
     return out.select("recording_id", (F.col("segment") + 1).alias("segment"), "c.*")
 
 
+def _next_splits(start: np.ndarray, end: np.ndarray, stops: np.ndarray, size: np.ndarray, max_seconds: float, max_bytes: int) -> np.ndarray:
+    """For a segment that begins at each word the place of its last word, -1 where the words end before."""
+    n, total = len(start), np.concatenate([[0], np.cumsum(size)])
+    out, open_ = np.full(n, -1, np.int64), np.arange(n)
+    for ahead in range(n):
+        open_ = open_[open_ + ahead < n]
+        if not len(open_):
+            break
+        j = open_ + ahead
+        lasted = end[j] - start[open_]
+        split = (stops[j] & (lasted > SHORTEST)) | (lasted > max_seconds) | (total[j + 1] - total[open_] + ahead > max_bytes)
+        out[open_[split]] = j[split]
+        open_ = open_[~split]
+    return out
+
+
+class _Block:
+    """The words of a block and the `reach` words behind it."""
+
+    def __init__(self, rows: pd.DataFrame, block_words: int, max_seconds: float, max_bytes: int):
+        rows = rows.sort_values("i", kind="stable")
+        self.words, self.start, self.end = rows.word.fillna("").tolist(), rows.start_time.to_numpy(), rows.end_time.to_numpy()
+        self.own = min(int((rows.i.to_numpy() < (rows.block.iloc[0] + 1) * block_words).sum()), block_words)
+        size = np.array([len(w.encode()) for w in self.words], np.int64)
+        stops = np.array([w.endswith((".", "?", "!")) for w in self.words], bool)
+        self.next = _next_splits(self.start, self.end, stops, size, max_seconds, max_bytes)
+
+    def jumps(self, reach: int) -> tuple[list[int], list[int]]:
+        """For each entry the entry into the next block (-1: the recording has ended) and the segments begun on the way."""
+        to, n, after = [0] * self.own, [0] * self.own, self.next.tolist()
+        for i in range(self.own - 1, -1, -1):
+            j = after[i] + 1
+            to[i], n[i] = (-1, 1) if j == 0 or j == len(after) else (j - self.own, 1) if j >= self.own else (to[j], n[j] + 1)
+        return (to[:reach] + [-1] * reach)[:reach], (n[:reach] + [0] * reach)[:reach]
+
+    def segments(self, entry: int, begun: int, close_tail: bool) -> list[tuple]:
+        out, i = [], entry
+        while 0 <= i < self.own:
+            j = int(self.next[i])
+            last = len(self.words) - 1 if j < 0 else j
+            begun += 1
+            out.append((begun, self.start[i], self.end[j] if j >= 0 else self.end[last] if close_tail else 0.0, " ".join(self.words[i : last + 1]), last + 1 - i))
+            i = last + 1 if j >= 0 else self.own
+        return out
+
+
+def block_segments(words: DataFrame, max_seconds: float = 15.0, max_bytes: int = 120, close_tail: bool = False, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """build_segments by blocks of words, for recordings of any length."""
+    reach = max_bytes + 2  # so many words have over max_bytes bytes, as each but the first has a space before it
+    if block_words <= reach:
+        raise ValueError("a block must be longer than a segment can be")
+    kind = words.schema["recording_id"].dataType.simpleString()
+    block = F.floor(F.col("i") / block_words)
+    w = words.select("recording_id", F.col("i").cast("long").alias("i"), "word", F.col("start_time").cast("double").alias("start_time"), F.col("end_time").cast("double").alias("end_time"))
+    w = w.withColumn("block", F.explode(F.when((F.col("i") % block_words < reach) & (block > 0), F.array(block - 1, block)).otherwise(F.array(block))))
+    groups = w.groupBy("recording_id", "block")
+
+    def jumps(rows: pd.DataFrame) -> pd.DataFrame:
+        to, n = _Block(rows, block_words, max_seconds, max_bytes).jumps(reach)
+        return pd.DataFrame({"recording_id": rows.recording_id.iloc[:1], "place": rows.block.iloc[:1], "to": [to], "n": [n]})
+
+    tables = groups.applyInPandas(jumps, f"recording_id {kind}, place long, to array<int>, n array<long>").select("recording_id", "place", F.struct("to", "n").alias("value"))
+    at = lambda s, x: F.when(s["entry"] >= 0, F.get(x["to"], s["entry"])).otherwise(F.lit(-1))
+    enter = lambda s, x: F.struct(at(s, x).alias("entry"), (s["begun"] + F.when(s["entry"] >= 0, F.get(x["n"], s["entry"])).otherwise(F.lit(0))).cast("long").alias("begun"))
+    leap = lambda a, x: F.struct(
+        F.transform(a["to"], lambda e: F.when(e >= 0, F.get(x["to"], e)).otherwise(F.lit(-1))).alias("to"),
+        F.zip_with(a["to"], a["n"], lambda e, n: n + F.when(e >= 0, F.get(x["n"], e)).otherwise(F.lit(0))).alias("n"),
+    )
+    entries = exclusive(tables, "recording_id", F.struct(F.lit(0).alias("entry"), F.lit(0).cast("long").alias("begun")), enter, leap)
+    entries = entries.select("recording_id", F.col("place").alias("block"), "before.*").where("entry >= 0")
+
+    def segments(rows: pd.DataFrame) -> pd.DataFrame:
+        made = _Block(rows, block_words, max_seconds, max_bytes).segments(int(rows.entry.iloc[0]), int(rows.begun.iloc[0]), close_tail)
+        out = pd.DataFrame(made, columns=[c.split()[0] for c in SEGMENT.split(", ")])
+        out.insert(0, "recording_id", [rows.recording_id.iloc[0]] * len(out))
+        return out
+
+    return w.join(entries, ["recording_id", "block"]).groupBy("recording_id", "block").applyInPandas(segments, f"recording_id {kind}, {SEGMENT}")
+
+
 def renumbered(words: DataFrame) -> DataFrame:
     """words with i counted anew from 0, for words that were filtered."""
     order = Window.partitionBy("recording_id").orderBy("i")

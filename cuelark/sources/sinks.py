@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.words import is_filler
+from .tables import kept
 from ..operators import segments as S
 from ..operators import store
 
@@ -52,7 +53,9 @@ def write_all(words: DataFrame, path: str, formats: list[str], no_fillers: bool
     if unknown and strict:
         raise ValueError(f"unknown formats: {unknown}")
     spoken = S.renumbered(words.where(~is_filler(F.col("word")))) if no_fillers else words
-    segments = S.build_segments(spoken)
+    segments = None
+    if {"srt", "vtt", "txt"} & set(formats):
+        segments = kept(S.build_segments(spoken), "segments")  # all formats are written from these
     for name, write in (("srt", write_srt), ("vtt", write_vtt), ("txt", write_txt)):
         if name in formats:
             write(segments, f"{path}/{name}")

@@ -9,7 +9,7 @@ session.
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -88,8 +88,16 @@ class Sessions(StatefulProcessor):
         pass
 
 
+def given(x, default):
+    """A field of an event, or what the protocol takes where it is left out."""
+    return default if x is None or pd.isna(x) else x
+
+
 def step(s: dict | None, r, partial_seconds: float) -> tuple[dict | None, list[tuple]]:
-    """One session event: the state behind it, None being no session, and the rows (type, sequence, start, up_to, seconds, code)."""
+    """One session event: the state behind it, None being no session, and the rows (type, sequence, start, up_to, seconds, code).
+    Fields that are left out count as sample_rate 16000, channels 1, pcm_s16le, and 0 for sequence, pts and duration."""
+    sequence, pts, duration = int(given(r.sequence, 0)), float(given(r.pts, 0.0)), float(given(r.duration, 0.0))
+    sample_rate, channels = int(given(r.sample_rate, 16000)), int(given(r.channels, 1))
     row = lambda kind, sequence=None, start=None, up_to=None, seconds=None, code=None: (kind, sequence, start, up_to, seconds, code)
     fail = lambda code: (s, [row("error", code=code)])
     if r.type == "start":
@@ -97,11 +105,11 @@ def step(s: dict | None, r, partial_seconds: float) -> tuple[dict | None, list[t
             return fail("protocol-error")
         if s is not None and not s.get("expired"):
             return fail("session-already-exists")
-        if not (r.session_id or "").strip():
+        if not given(r.session_id, "").strip():
             return fail("invalid-session-id")
-        if r.sample_rate <= 0 or r.channels <= 0 or r.format != "pcm_s16le":
+        if sample_rate <= 0 or channels <= 0 or given(r.format, "pcm_s16le") != "pcm_s16le":
             return fail("decoder-error")
-        return {"connection": r.connection, "expected": 0, "size": 0, "pts": None, "final": 0.0, "frame": int(r.sample_rate) * int(r.channels) * 2}, [row("started")]
+        return {"connection": r.connection, "expected": 0, "size": 0, "pts": None, "final": 0.0, "frame": sample_rate * channels * 2}, [row("started")]
     if s is None:
         return fail("session-not-started")
     if s.get("expired"):
@@ -111,14 +119,14 @@ def step(s: dict | None, r, partial_seconds: float) -> tuple[dict | None, list[t
     seconds = lambda: s["size"] / s["frame"]
     span = lambda: (s["final"] if s["pts"] is None else s["pts"], round(seconds(), 3))
     if r.type == "audio":
-        code = "invalid-sequence" if r.sequence != s["expected"] else "invalid-pts" if r.pts < 0 else "invalid-duration" if r.duration < 0 else None
+        code = "invalid-sequence" if sequence != s["expected"] else "invalid-pts" if pts < 0 else "invalid-duration" if duration < 0 else None
         if code:
             return fail(code)
         s = s | {"expected": s["expected"] + 1}
         if r.n_bytes > 0:
-            s |= {"pts": float(r.pts) if s["pts"] is None else s["pts"], "size": s["size"] + int(r.n_bytes)}
+            s |= {"pts": pts if s["pts"] is None else s["pts"], "size": s["size"] + int(r.n_bytes)}
         start, length = span()
-        return s, [row("partial", int(r.sequence), start, round(start + length, 3), length)] if seconds() >= partial_seconds else []
+        return s, [row("partial", sequence, start, round(start + length, 3), length)] if seconds() >= partial_seconds else []
     if r.type in ("flush", "stop"):
         start, length = span()
         up_to = round(start + length, 3)
@@ -153,21 +161,6 @@ def committed_lines(batch: DataFrame) -> DataFrame:
     return batch.where("word IS NOT NULL").groupBy("session_id", "sequence").agg(F.count(F.lit(1)).alias("n"), joined(words).alias("text"))
 
 
-def rolling_overwrite(path: str, render: Callable[[DataFrame], DataFrame]):
-    """For foreachBatch: appends the batch's committed words, and rewrites the artefacts of the sessions that it touched."""
-
-    def run(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        new = routed(batch)["committed"]
-        new.write.mode("overwrite").parquet(f"{path}/words/epoch={epoch}")  # the same epoch run again replaces itself
-        touched = new.select("session_id").distinct()
-        words = spark.read.parquet(f"{path}/words").join(touched, "session_id", "left_semi")
-        out = render(words)
-        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("session_id").parquet(f"{path}/artefacts")
-
-    return run
-
-
 def summary_overwrite(path: str):
     """For foreachBatch over updated metrics: one JSON file for each session of the batch, written anew."""
 

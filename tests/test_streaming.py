@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from cuelark.operators import accumulate, analysis, segments
 from cuelark.streaming import transcripts as T
+from cuelark.streaming.rolling import rolling_rewrite
 
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -33,7 +34,7 @@ def test_accumulator_stream_and_rolling_artefacts(spark, tmp_path):
         w = words.select(F.col("session_id").alias("recording_id"), F.col("position").alias("i"), "word", "start_time", "end_time")
         return segments.srt_cues(segments.build_segments(w)).select(F.col("recording_id").alias("session_id"), "segment", "cue")
 
-    roll = T.rolling_overwrite(str(tmp_path / "out"), render)
+    roll = rolling_rewrite(str(tmp_path / "out"), render, buckets=4)
 
     def each(batch, epoch):
         batch.persist()
