@@ -96,11 +96,12 @@ def given(x, default):
 def step(s: dict | None, r, partial_seconds: float) -> tuple[dict | None, list[tuple]]:
     """One session event: the state behind it, None being no session, and the rows (type, sequence, start, up_to, seconds, code).
     Fields that are left out count as sample_rate 16000, channels 1, pcm_s16le, and 0 for sequence, pts and duration."""
+    kind = given(r.type, "").strip()
     sequence, pts, duration = int(given(r.sequence, 0)), float(given(r.pts, 0.0)), float(given(r.duration, 0.0))
     sample_rate, channels = int(given(r.sample_rate, 16000)), int(given(r.channels, 1))
-    row = lambda kind, sequence=None, start=None, up_to=None, seconds=None, code=None: (kind, sequence, start, up_to, seconds, code)
+    row = lambda type_, sequence=None, start=None, up_to=None, seconds=None, code=None: (type_, sequence, start, up_to, seconds, code)
     fail = lambda code: (s, [row("error", code=code)])
-    if r.type == "start":
+    if kind == "start":
         if s is not None and s.get("connection") is not None and s["connection"] == r.connection:
             return fail("protocol-error")
         if s is not None and not s.get("expired"):
@@ -114,11 +115,11 @@ def step(s: dict | None, r, partial_seconds: float) -> tuple[dict | None, list[t
         return fail("session-not-started")
     if s.get("expired"):
         return fail("session-not-found")
-    if r.type == "audio" and pd.isna(r.n_bytes):  # its payload could not be decoded
+    if kind == "audio" and pd.isna(r.n_bytes):  # its payload could not be decoded
         return fail("server-error")
     seconds = lambda: s["size"] / s["frame"]
     span = lambda: (s["final"] if s["pts"] is None else s["pts"], round(seconds(), 3))
-    if r.type == "audio":
+    if kind == "audio":
         code = "invalid-sequence" if sequence != s["expected"] else "invalid-pts" if pts < 0 else "invalid-duration" if duration < 0 else None
         if code:
             return fail(code)
@@ -127,12 +128,12 @@ def step(s: dict | None, r, partial_seconds: float) -> tuple[dict | None, list[t
             s |= {"pts": pts if s["pts"] is None else s["pts"], "size": s["size"] + int(r.n_bytes)}
         start, length = span()
         return s, [row("partial", sequence, start, round(start + length, 3), length)] if seconds() >= partial_seconds else []
-    if r.type in ("flush", "stop"):
+    if kind in ("flush", "stop"):
         start, length = span()
         up_to = round(start + length, 3)
-        made = [row("final_words", None, start, up_to, length)] if r.type == "flush" or s["size"] else []
+        made = [row("final_words", None, start, up_to, length)] if kind == "flush" or s["size"] else []
         s = s | {"final": max(s["final"], up_to) if s["size"] else s["final"], "size": 0, "pts": None}
-        return (None, [*made, row("stopped", seconds=round(s["final"], 3))]) if r.type == "stop" else (s, made)
+        return (None, [*made, row("stopped", seconds=round(s["final"], 3))]) if kind == "stop" else (s, made)
     return fail("invalid-event-type")
 
 
