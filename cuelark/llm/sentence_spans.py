@@ -2,11 +2,13 @@
 
 A text is cut into sentences, which end behind [.!?] and a space, or with a line. Sentences of over SPAN words are
 cut further, behind the word with the smallest CRC (the last such) of every SPAN consecutive words, so that no piece
-has more than SPAN words and a passage is cut alike wherever it stands, but for its first SPAN - 1 and last SPAN words. A
-passage of over 50 words so holds RUN whole pieces at least that are the same everywhere.
-Every run of RUN consecutive sentences, lower-cased and with single spaces, is hashed to 128 bits and
-looked up in the whole corpus. Its first occurrence, by (doc_id, place), stays; of every other occurrence all RUN
-sentences are removed. Sentences are judged on the input, not on what is left.
+has more than SPAN words and a passage is cut alike wherever it stands, but for its first SPAN - 1 and last SPAN words.
+A span is a run of consecutive pieces that begins at any piece and ends with the first by which it has RUN_WORDS words, so that no
+phrase shorter than that is ever removed. The words between the first and the last cut that a passage of over 50 words has
+everywhere are at least 22, so that it holds a whole span wherever it stands.
+Every span, lower-cased and with single spaces, is hashed to 128 bits and
+looked up in the whole corpus. Its first occurrence, by (doc_id, place), stays; of every other occurrence all
+pieces are removed. Pieces are judged on the input, not on what is left.
 """
 
 from __future__ import annotations
@@ -24,8 +26,10 @@ from .common import documents, keyed, small, written
 from .near_dedup import mixed_bits
 from .packed import HIT, Entries, resolved
 
-RUN = 3
+RUN_WORDS = 20
 SPAN = 8
+#: Odd numbers: place k of a text weighs its k-th power, which has an inverse modulo 2**64.
+_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _END = re.compile(rb"[.!?]+(?=[\x20\x09-\x0d])[\x20\x09-\x0d]*|\n\s*")
 _SPACE = b" \t\n\v\f\r"
 _WORD = re.compile(rb"[^\x20\x09-\x0d]+[\x20\x09-\x0d]*")
@@ -49,29 +53,47 @@ def sentence_ends(text: bytes) -> list[int]:
     return np.union1d(ends, behind[least[within]]).tolist()
 
 
-def _hashes(texts: list[bytes], k: int = RUN):
-    """(hash, second hash, document, place) of every run of k sentences."""
-    flat, sizes = [], []
+def span_ends(n_words: np.ndarray) -> np.ndarray:
+    """For each piece of a text the number behind the last piece of the span that begins with it; 0 where too few words follow."""
+    upto = np.concatenate([[0], np.cumsum(n_words)])
+    end = np.searchsorted(upto, upto[:-1] + RUN_WORDS)
+    return np.where(end < len(upto), end, 0)
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.multiply.accumulate(out)
+
+
+def _hashes(texts: list[bytes]):
+    """(hash, second hash, document, place) of every span, place being the number of its first piece in the document."""
+    flat, sizes, begin, end = [], [], [], []
     for t in texts:
-        start, n = 0, 0
+        start, n_words, at = 0, [], len(flat)
         for e in sentence_ends(t):
             words = t[start:e].lower().split()
             flat.append(b" ".join(words).decode("utf-8", "surrogateescape"))
-            start, n = e, n + 1
-        sizes.append(n)
+            n_words.append(len(words))
+            start = e
+        sizes.append(len(n_words))
+        behind = span_ends(np.array(n_words, np.int64))
+        own = np.flatnonzero(behind)
+        begin.append(at + own)
+        end.append(at + behind[own])
     sizes = np.array(sizes, np.int64)
+    begin, end = (np.concatenate(x).astype(np.int64) if x else np.zeros(0, np.int64) for x in (begin, end))
     code, known = pd.factorize(np.array(flat, object)) if flat else (np.zeros(0, np.int64), [])
-    h = pd.util.hash_array(np.asarray(known, object), categorize=False)[code] if flat else np.zeros(0, np.uint64)
-    h2 = pd.util.hash_array(np.asarray(known, object), hash_key="fedcba9876543210", categorize=False)[code] if flat else h
     doc = np.repeat(np.arange(len(texts)), sizes)
-    place = np.arange(len(h)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    n = max(len(h) - k + 1, 0)
-    a, b = np.zeros(n, np.uint64), np.zeros(n, np.uint64)
-    for i in range(k):
-        a = mixed_bits(a + h[i : i + n] + np.uint64(i + 1))
-        b = mixed_bits(b + h2[i : i + n] + np.uint64(i + 1))
-    inside = doc[:n] == doc[k - 1 : k - 1 + n]
-    return a[inside], b[inside], doc[:n][inside], place[:n][inside]
+    place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    hashes = []
+    for base, key in zip(_BASES, ("0123456789123456", "fedcba9876543210"), strict=True):
+        h = pd.util.hash_array(np.asarray(known, object), hash_key=key, categorize=False)[code] if flat else np.zeros(0, np.uint64)
+        upto = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * _powers(base, len(h)), dtype=np.uint64)])
+        back = _powers(pow(base, -1, 2**64), len(h))
+        # the sum over a span of hash times power, as if the span stood at the start, and how many pieces it has
+        hashes.append(mixed_bits((upto[end] - upto[begin]) * back[begin] + (end - begin).astype(np.uint64)))
+    return *hashes, doc[begin], place[begin]
 
 
 def _first_of_each(a: np.ndarray, b: np.ndarray, doc: np.ndarray, place: np.ndarray) -> np.ndarray:
@@ -91,12 +113,14 @@ def _repeats(a, b, doc, place) -> np.ndarray:
     return np.where(_first_of_each(a, b, doc, place), 0, HIT)
 
 
-def cut_out(text: bytes, starts: np.ndarray, k: int = RUN) -> tuple[bytes, int]:
-    """text without the sentences that a run of k at one of `starts` covers, and how many there are."""
+def cut_out(text: bytes, starts: np.ndarray) -> tuple[bytes, int]:
+    """text without the pieces of the spans that begin at `starts`, and how many these are."""
     ends = np.array([0, *sentence_ends(text)])
-    gone = np.zeros(len(ends) - 1, bool)
-    for i in range(k):
-        gone[starts + i] = True
+    behind = span_ends(np.array([len(text[a:b].split()) for a, b in zip(ends[:-1], ends[1:], strict=True)], np.int64))
+    edge = np.zeros(len(ends), np.int64)
+    np.add.at(edge, starts, 1)
+    np.add.at(edge, behind[starts], -1)
+    gone = np.cumsum(edge)[:-1] > 0
     parts = [text[ends[i] : ends[i + 1]] for i in np.flatnonzero(~gone)]
     return b"".join(parts), int(gone.sum())
 
@@ -119,7 +143,7 @@ def _without(batches):
 def without_repeats(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_sentences_removed, n_removed (bytes), kept_text.
 
-    A null text counts as empty; texts of under RUN sentences keep everything. Of rows with one doc_id and a
+    A null text counts as empty; texts of under RUN_WORDS words keep everything. Of rows with one doc_id and a
     common span, or of one text that repeats itself, the first in (doc_id or row number, place) keeps it.
     Other columns are ignored; an empty table gives an empty result.
     """

@@ -176,13 +176,15 @@ def test_sentence_spans(docs):
         pieces[i] = [b[x:y] for x, y in zip(ends, ends[1:], strict=False)]
     seen, want = set(), {}
     for i in sorted(pieces):
-        norm = [b" ".join(p.lower().split()) for p in pieces[i]]
+        norm = [p.lower().split() for p in pieces[i]]
         gone = set()
-        for k in range(len(norm) - sentence_spans.RUN + 1):
-            run = tuple(norm[k : k + sentence_spans.RUN])
-            if run in seen:
-                gone |= set(range(k, k + sentence_spans.RUN))
-            seen.add(run)
+        for k in range(len(norm)):
+            e = next((e for e in range(k + 1, len(norm) + 1) if sum(map(len, norm[k:e])) >= 20), None)
+            if e:
+                run = tuple(b" ".join(x) for x in norm[k:e])
+                if run in seen:
+                    gone |= set(range(k, e))
+                seen.add(run)
         want[i] = b"".join(p for k, p in enumerate(pieces[i]) if k not in gone).decode()
     got = sentence_spans.without_repeats(docs).collect()
     assert {r.doc_id: r.kept_text for r in got} == want
@@ -277,3 +279,32 @@ def test_passages_of_51_words_in_running_text(spark):
     for _, text, *_ in rows:
         at = [0, *sentence_spans.sentence_ends(text.encode())]
         assert max(len(text.encode()[a:b].split()) for a, b in zip(at, at[1:])) <= 8
+
+
+def test_no_run_of_under_20_words_is_removed(spark, docs):
+    """Common phrases stay, however often they stand; what goes is 20 words long at least."""
+    r = random.Random(20)
+    phrase = " of of of. and and and. eaon of in."
+    rows = [(1000 + i, " ".join(f"{prose(r, 25)}{phrase}" for _ in range(4)), None, None, 0) for i in range(30)] + [(1100 + i, f"One. Two. Three. {prose(r, 30)}", None, None, 0) for i in range(20)]
+    rows += [(1200 + i, "Same here. " * (3 + i), None, None, 0) for i in range(12)]
+    removed = 0
+    for x in sentence_spans.without_repeats(spark.createDataFrame(rows, DOCS).unionByName(docs)).join(spark.createDataFrame(rows, DOCS).unionByName(docs).select("doc_id", "text"), "doc_id").collect():
+        text = (x.text or "").encode()
+        ends = [0, *sentence_spans.sentence_ends(text)]
+        pieces, kept = [text[a:b] for a, b in zip(ends, ends[1:], strict=False)], x.kept_text.encode()
+        if not x.n_removed:
+            assert kept == text
+            continue
+        # the longest runs that can be left out so that the rest is what was kept, from the front
+        run, at = [], 0
+        for p in pieces:
+            if kept[at : at + len(p)] == p:
+                at += len(p)
+                assert not run or sum(map(len, run)) >= 20
+                run = []
+            else:
+                run.append(p.split())
+        removed += 1
+    assert removed > 5
+    got = {x.doc_id: x.n_removed for x in sentence_spans.without_repeats(spark.createDataFrame(rows, DOCS)).collect()}
+    assert all(got[i] == 0 for i in got if i < 1200) and got[1211] > 0
