@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from difflib import SequenceMatcher
-
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.words import diff_form, is_filler, rounded, up_to
+from ..functions.words import is_filler, rounded, up_to
+from .alignment import aligned
 
-EDGE, AROUND = 10, 8
+__all__ = ["aligned", "alignment_summary", "chunk_event_pairs", "edge_words", "run_delta", "session_metrics", "session_totals", "transcript_stats"]
+EDGE = 10
 
 
 def transcript_stats(words: DataFrame, chunks: DataFrame) -> DataFrame:
@@ -69,27 +68,6 @@ def chunk_event_pairs(chunks: DataFrame, events: DataFrame) -> DataFrame:
     )
 
 
-def _aligned(key: tuple, both: pd.DataFrame) -> pd.DataFrame:
-    both = both.sort_values(["start_time", "i"])
-    a, b = both[both.side == 0], both[both.side == 1]
-    x, y = a.form.tolist(), b.form.tolist()
-    rows = []
-    for tag, i1, i2, j1, j2 in SequenceMatcher(a=x, b=y, autojunk=False).get_opcodes():
-        at = float(a.start_time.iloc[i1]) if i1 < len(a) else (float(a.end_time.iloc[-1]) if len(a) else 0.0)
-        near = " ".join(a.word.iloc[max(0, i1 - AROUND) : i2 + AROUND]), " ".join(b.word.iloc[max(0, j1 - AROUND) : j2 + AROUND])
-        rows.append((key[0], tag, i1, i2, j1, j2, at, *(near if tag != "equal" else ("", ""))))
-    return pd.DataFrame(rows, columns=["recording_id", "tag", "i1", "i2", "j1", "j2", "at", "base_context", "run_context"])
-
-
-def aligned(base: DataFrame, run: DataFrame) -> DataFrame:
-    """Regions of two runs' words (recording_id, i, word, start_time, end_time): equal, replace, delete or insert,
-    with the words around those that differ. One task per recording."""
-    kind = base.schema["recording_id"].dataType.simpleString()
-    side = lambda w, k: w.select("recording_id", "i", "word", "start_time", "end_time", diff_form(F.col("word")).alias("form"), F.lit(k).alias("side"))
-    both = side(base, 0).unionByName(side(run, 1)).groupBy("recording_id")
-    return both.applyInPandas(_aligned, f"recording_id {kind}, tag string, i1 int, i2 int, j1 int, j2 int, at double, base_context string, run_context string")
-
-
 def alignment_summary(regions: DataFrame) -> DataFrame:
     """Per recording and tag: regions, and the words on both sides that differ."""
     return regions.where("tag <> 'equal'").groupBy("recording_id", "tag").agg(
