@@ -15,7 +15,9 @@ union are maxima of registers, and two sets agree in one with a chance close to
    one task and are so compared in full, and one for each member of a larger bucket. Larger buckets that
    then still hold several components go through a set-similarity join, so that no link is left to these orders: two
    sets that reach the similarity share one of the first shingles of both, taken in one order for all (rare ones
-   first), so only documents that meet there are paired, as far as sizes, places and registers allow. Members of the largest
+   first), so only documents that meet there are paired, as far as sizes, places, registers and parities allow: a
+   set has ODD bits, each the parity of how many of its shingles fall there, so that two sets' bits differ as the shingles
+   that only one of them has do. That tells sets a few hundredths below the limit from sets at it. Members of the largest
    component of each of their buckets (hosts) are compared with the others (guests) alone.
 4. A pair's similarity is estimated by maximum likelihood from all registers jointly (greater, less, equal) and
    the sizes; pairs go that lie so far below the limit that one at the limit does with a chance of 1e-6 at most. The others are verified on
@@ -44,6 +46,7 @@ BANDS, ROWS = 32, 4
 A, B, Q = 20.0, 1.001, 2**16 - 2
 NEAR = 16
 SLOTS, BLOCK = 2**20, 1024  # the join: counters of shingles, documents of a block
+ODD = 1024  # bits of parity
 AFTER = 8  # registers behind a band that order its buckets
 AT_ONCE, BYTES_AT_ONCE = 1024, 2**22
 WORDS, SIMILARITY = 5, 80  # words of a shingle, per cent
@@ -244,7 +247,22 @@ def _first_counters(often: np.ndarray, similarity: int):
     return run
 
 
-_DEALT = "shingle long, one int, other int, block int, uid long, label long, n long, place int, low binary"
+def parities(shingles: np.ndarray) -> bytes:
+    at = (mixed_bits(shingles * _M) % np.uint64(ODD)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=ODD) & 1).astype(bool)).tobytes()
+
+
+def most_different(both: np.ndarray, similarity: int) -> np.ndarray:
+    """How many parities of two sets of together `both` shingles can differ if they reach the similarity: as many as shingles that
+    one set alone has, or five deviations over the mean number of odd bits that so many make (a chance below 1e-6)."""
+    alone = (both - 2 * -((-similarity * both) // (100 + similarity))).astype(np.float64)
+    once, twice = (1 - 2 / ODD) ** alone, (1 - 4 / ODD) ** alone
+    mean = ODD / 2 * (1 - once)
+    deviation = np.sqrt(np.maximum(ODD / 4 * (1 - twice) + ODD**2 / 4 * (twice - once**2), 0))
+    return np.minimum(alone, np.floor(mean + 5 * deviation + 1)).astype(np.int64)
+
+
+_DEALT = "shingle long, one int, other int, block int, uid long, label long, n long, place int, low binary, odd binary"
 
 
 def _dealt(often: np.ndarray, guests: np.ndarray, hosts: np.ndarray, similarity: int):
@@ -258,6 +276,7 @@ def _dealt(often: np.ndarray, guests: np.ndarray, hosts: np.ndarray, similarity:
             guest = batch.column("guest").to_numpy(zero_copy_only=False).astype(bool)
             first = [_first_shingles(np.frombuffer(x, np.uint64), often, similarity) for x in batch.column("shingles").to_pylist()]
             low = [np.frombuffer(x, np.uint8)[::2].tobytes() for x in batch.column("reg").to_pylist()]
+            odd = [parities(np.frombuffer(x, np.uint64)) for x in batch.column("shingles").to_pylist()]
             if not first:
                 continue
             doc = np.repeat(np.arange(len(first)), [len(s) for s, _ in first])
@@ -277,7 +296,7 @@ def _dealt(often: np.ndarray, guests: np.ndarray, hosts: np.ndarray, similarity:
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(shingle[i].view(np.int64)), *[pa.array(x.astype(np.int32)) for x in made], pa.array(uid[d]), pa.array(label[d]),
-                        pa.array(n[d]), pa.array(place[i].astype(np.int32)), pa.array([low[x] for x in d], pa.binary()),
+                        pa.array(n[d]), pa.array(place[i].astype(np.int32)), *[pa.array([y[x] for x in d], pa.binary()) for y in (low, odd)],
                     ],
                     [x.split()[0] for x in _DEALT.split(", ")],
                 )
@@ -294,8 +313,9 @@ def _met(similarity: int):
         for batch in small(batches, 4096, BYTES_AT_ONCE, "low"):
             now = [batch.column(c).to_numpy(zero_copy_only=False) for c in columns]
             now.append(np.frombuffer(b"".join(batch.column("low").to_pylist()), np.uint8).reshape(-1, BANDS * ROWS))
+            now.append(np.frombuffer(b"".join(batch.column("odd").to_pylist()), np.uint64).reshape(-1, ODD // 64))
             rows = now if tail is None else [np.concatenate(x) for x in zip(tail, now, strict=True)]
-            shingle, one, other, block, uid, label, n, place, low = rows
+            shingle, one, other, block, uid, label, n, place, low, odd = rows
             fresh, pairs = len(uid) - len(batch), [np.zeros((2, 0), np.int64)]
             new = np.ones(len(uid), bool)
             new[1:] = (shingle[1:] != shingle[:-1]) | (one[1:] != one[:-1]) | (other[1:] != other[:-1])
@@ -310,6 +330,8 @@ def _met(similarity: int):
                 ok = (label[x] != label[y]) & ((one[y] == other[y]) | (block[x] != block[y]))
                 ok &= (100 * np.minimum(n[x], n[y]) >= similarity * np.maximum(n[x], n[y])) & (np.minimum(n[x] - place[x], n[y] - place[y]) >= shared)
                 i, j = x[ok], y[ok]
+                same = np.bitwise_count(odd[i] ^ odd[j]).sum(1, dtype=np.int64) <= most_different(n[i] + n[j], similarity)
+                i, j = i[same], j[same]
                 good = (low[i] == low[j]).mean(1) >= least_likely(similarity)
                 pairs.append(np.stack([uid[i[good]], uid[j[good]]]))
             tail = [c[start[-1] :] for c in rows] if len(uid) else None

@@ -249,6 +249,41 @@ def test_shingle_join_of_blocks(spark, monkeypatch):
         assert {(a, b) for a, b in brute if b >= hosts} <= got and not any(a < hosts and b < hosts for a, b in got)
 
 
+@pytest.mark.parametrize("per_cent", [80, 85])
+def test_parities_keep_pairs_at_the_limit_and_tell_those_below_it(per_cent):
+    r = np.random.default_rng(per_cent)
+    kept = {0: 0, 8: 0}
+    for n in (3, 20, 200, 1000, 4000):
+        for below in kept:
+            passed, rounds = 0, 300
+            for _ in range(rounds):
+                both = -((-(per_cent - below) * 2 * n) // (100 + per_cent - below))  # shared of two sets of n shingles
+                x = r.integers(0, 2**63, 2 * n - both, dtype=np.uint64)
+                a, b = x[:n], np.concatenate([x[:both], x[n:]])
+                differ = int(np.bitwise_count(np.frombuffer(near_dedup.parities(a), np.uint8) ^ np.frombuffer(near_dedup.parities(b), np.uint8)).sum())
+                passed += differ <= near_dedup.most_different(np.array([2 * n]), per_cent)[0]
+            assert below or passed == rounds
+            if n in (200, 1000):
+                kept[below] += passed
+    assert kept[8] < 0.02 * kept[0]
+
+
+def test_a_crowd_below_the_limit_makes_next_to_no_pairs(spark):
+    """Edits of one template that is not in the table itself, 0.76 alike: the join puts out nearly nothing."""
+    r, words = random.Random(3), [f"t{k}" for k in range(1000)]
+    texts = []
+    for _ in range(300):
+        own = list(words)
+        for k in r.sample(range(1000), 70):
+            own[k] = f"e{r.randrange(3000)}"
+        texts.append(" ".join(own))
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "uid long, text string")
+    sets = df.mapInArrow(near_dedup._set_of(3), "uid long, shingles binary")
+    rows = [(x.uid, x.uid, True, len(x.shingles) // 8, near_dedup.registers([np.frombuffer(x.shingles, np.uint64)])[0].tobytes(), bytes(x.shingles)) for x in sets.collect()]
+    join = spark.createDataFrame(rows, "uid long, label long, guest boolean, n_shingles long, reg binary, shingles binary")
+    assert near_dedup.joined_by_shingles(join, 85).count() < 10 * len(texts)
+
+
 @pytest.mark.parametrize("per_cent", [80, 85])
 def test_estimate_loses_next_to_no_pair_at_the_limit(per_cent):
     n, s = near_dedup.BANDS * near_dedup.ROWS, per_cent / 100
