@@ -6,7 +6,7 @@ over each chunk and are max-pooled; a small dense layer makes one logit of them,
 the chunks makes one probability of these, so that one bad part spoils a document.
 
 It is fitted on the driver on a bounded sample of labelled rows: at most TRAIN_PER_LABEL documents of each
-label, the first in hash order of doc_id, and of each at most TRAIN_CHUNKS chunks, evenly spread. Rows whose
+label, the first in hash order of doc_id, and of these, in an order of hashes, as many whole texts as TRAIN_BYTES hold. Rows whose
 crc32(doc_id as text) mod 5 is 0 are held out. Every document is scored over its whole text.
 """
 
@@ -21,7 +21,7 @@ from .common import bounded, documents, small
 
 CHUNK, STEP = 512, 448
 FILTERS, WIDTH, HIDDEN = 16, 6, 16
-TRAIN_PER_LABEL, TRAIN_CHUNKS, EPOCHS, BATCH = 2000, 24, 8, 32
+TRAIN_PER_LABEL, TRAIN_BYTES, EPOCHS, BATCH = 2000, 2**25, 8, 32
 CUT = 0.3
 FOLDS = 5
 
@@ -36,13 +36,10 @@ def chunk_starts(n: int) -> np.ndarray:
     return np.append(np.arange(0, n - CHUNK, STEP), n - CHUNK)
 
 
-def chunks_of(text: bytes, most: int | None = None) -> np.ndarray:
-    """The chunks of a text, or `most` of them, evenly spread with the first and the last."""
+def chunks_of(text: bytes) -> np.ndarray:
+    """The chunks of a text."""
     raw = np.frombuffer(text.ljust(CHUNK, b"\0"), np.uint8)
-    at = chunk_starts(len(text))
-    if most and len(at) > most:
-        at = at[np.linspace(0, len(at) - 1, most).astype(int)]
-    return np.lib.stride_tricks.sliding_window_view(raw, CHUNK)[at]
+    return np.lib.stride_tricks.sliding_window_view(raw, CHUNK)[chunk_starts(len(text))]
 
 
 class Network:
@@ -144,13 +141,6 @@ class Network:
         }
 
 
-def _sampled_chunks(batches):
-    for batch in small(batches):
-        texts = batch.column("text").cast(pa.binary()).to_pylist()
-        made = [chunks_of(x or b"", TRAIN_CHUNKS).tobytes() for x in texts]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("quality"), pa.array(made, pa.binary())], ["doc_id", "quality", "chunks"])
-
-
 def trained(docs: DataFrame, labels: DataFrame, folds: int = FOLDS) -> Network:
     """A network fitted on the bounded sample; unfitted where no usable row is labelled. Of several labels of one doc_id the
     lowest counts."""
@@ -159,12 +149,18 @@ def trained(docs: DataFrame, labels: DataFrame, folds: int = FOLDS) -> Network:
     for q in (0, 1):
         one = usable.where(F.col("quality") == q).orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_PER_LABEL)
         sample = one if sample is None else sample.unionByName(one)
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")  # 2 * TRAIN_PER_LABEL rows at most
-    got = rows.mapInArrow(_sampled_chunks, f"doc_id {kind}, quality int, chunks binary").orderBy("doc_id", "chunks").limit(2 * TRAIN_PER_LABEL).collect()
+    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").withColumn("h", F.xxhash64("doc_id", "text"))  # 2 * TRAIN_PER_LABEL ids
+    sizes = rows.select("h", F.coalesce(F.octet_length("text"), F.lit(0)).alias("size")).distinct().orderBy("h", "size").limit(2 * TRAIN_PER_LABEL).collect()
+    chosen, size = [], 0
+    for r in sizes:
+        if size + r["size"] <= TRAIN_BYTES:
+            chosen.append((r["h"],))
+            size += r["size"]
     net = Network()
-    if got:
-        net.fit([np.frombuffer(r["chunks"], np.uint8).reshape(-1, CHUNK) for r in got], np.array([r["quality"] for r in got], np.float32))
+    if chosen:
+        few = F.broadcast(docs.sparkSession.createDataFrame(chosen, "h long"))  # 2 * TRAIN_PER_LABEL numbers at most
+        got = rows.join(few, "h").dropDuplicates(["h"]).select("doc_id", "quality", F.coalesce("text", F.lit("")).alias("text")).orderBy("doc_id", "text").collect()
+        net.fit([chunks_of(r["text"].encode()) for r in got], np.array([r["quality"] for r in got], np.float32))
     return net
 
 
