@@ -1,4 +1,8 @@
-"""The corpus pipeline: rules, exact and near dedup, mixing, encoding. Each stage works on all that its predecessor kept."""
+"""The corpus pipeline: rules, exact and near dedup, mixing, encoding. Each stage works on all that its predecessor kept.
+
+Every stage takes (spark, docs, sf_dir); docs has the columns of documents, and may have others, which the first four stages keep. Any
+column may be null, rows may repeat, and an empty table stays empty in each stage.
+"""
 
 from __future__ import annotations
 
@@ -8,27 +12,31 @@ from cuelark.llm import common, exact_dedup, mixing, near_dedup, pieces, quality
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules reject go."""
+    """Documents that the quality rules reject go: those of under 50 words, null and empty texts among them, those that repeat
+    themselves, and those below the score's threshold; one at the threshold stays. Repeated rows are judged alike."""
     return quality_rules.good_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts one stays."""
+    """Of equal texts, A-Z lower-cased, the row with the largest doc_id stays; null counts as empty. Of rows that
+    are equal in text and doc_id one stays."""
     return exact_dedup.without_copies(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (shingles of five words, similarity 0.8) one stays."""
+    """Of each group of near copies (shingles of five words, similarity 0.8) the row with the smallest doc_id stays, a null one last.
+    Texts without words are no copies of anything and stay."""
     return near_dedup.without_near_copies(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows as often as the mix takes them."""
+    """Rows as often as the mix takes them, up to three times; documents without words are never taken. A null source is one of its
+    own. Reruns take the same rows."""
     return mixing.mix(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Piece ids of every row: doc_id, source, n_pieces, ids."""
+    """Piece ids of every row: doc_id, source, n_pieces, ids. A null or empty text has none; rows that repeat are encoded alike."""
     return pieces.encoded(docs, keep=("doc_id", "source"))
 
 
