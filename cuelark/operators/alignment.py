@@ -6,25 +6,33 @@ are compared in one task. Longer ones are split in rounds over all of them: word
 diagonal make the maximal runs, and all runs of a stretch's greatest length that follow one another split it at once. A
 round so leaves no run of that length, and what remains falls under MOST after a few.
 
-What differs, its place in time and the words around it are joins and windows over the blocks that were found.
+What differs, its place in time and the words around it are joins and windows over the blocks that were found. Joins with
+what grows with the recordings are shuffled by hint: Spark takes a table's size from its compressed file and does not
+count what an explode makes of it, so that it would send such tables through the driver.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from difflib import SequenceMatcher
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.words import diff_form
 from ..sources.tables import kept
 from .scan import blocks, exclusive
+from .sorted_runs import in_order, starts, whole_keys
 
 AROUND = 8
 MOST = 4000  # words of a stretch that one task compares
 GRAMS = (16, 4, 1)  # words in a row that long stretches are joined by, one after another where none is common
 NEAR = 4096  # places that are looked at together
+PAIRS = 2**20  # pairs of equal words that are held for a stretch
 PIECE = "alo long, ahi long, blo long, bhi long"
 KEYS = ["recording_id", "piece"]
 
@@ -37,7 +45,7 @@ def placed(words: DataFrame) -> DataFrame:
     add = lambda a, x: a + x
     before = exclusive(n, "recording_id", F.lit(0).cast("long"), add, add)
     own = F.row_number().over(Window.partitionBy("recording_id", "place").orderBy("start_time", "i")) - 1
-    rows = b.withColumn("own", own).join(before, ["recording_id", "place"])
+    rows = b.withColumn("own", own).join(before.hint("merge"), ["recording_id", "place"])
     return kept(rows.select("recording_id", (F.col("before") + F.col("own")).alias("at"), "word", "start_time", "end_time", diff_form(F.col("word")).alias("form")), "placed")
 
 
@@ -54,7 +62,7 @@ def _inside(grams: DataFrame, pieces: DataFrame, side: str, k: int) -> DataFrame
     """The grams that lie in a piece, with its number; pieces are disjoint on each side."""
     low, high = F.col(f"{side}lo"), F.col(f"{side}hi") - k
     p = pieces.where(low <= high).select(*KEYS, low.alias("low"), high.alias("high"), F.explode(F.sequence(F.floor(low / NEAR), F.floor(high / NEAR))).alias("block"))
-    return grams.join(p, ["recording_id", "block"]).where((F.col(side) >= F.col("low")) & (F.col(side) <= F.col("high"))).drop("block", "low", "high")
+    return grams.join(p.hint("shuffle_hash"), ["recording_id", "block"]).where((F.col(side) >= F.col("low")) & (F.col(side) <= F.col("high"))).drop("block", "low", "high")
 
 
 def _runs(a: DataFrame, b: DataFrame, pieces: DataFrame, k: int) -> DataFrame:
@@ -117,21 +125,67 @@ def matching_blocks(a: DataFrame, b: DataFrame, most: int = MOST) -> DataFrame:
     def side(w: DataFrame, x: str) -> DataFrame:
         low, high = F.col(f"{x}lo"), F.col(f"{x}hi")
         p = pieces.withColumn("piece", F.concat_ws("-", "alo", "blo")).select(*KEYS, low.alias("low"), high.alias("high"), F.explode(F.sequence(F.floor(low / NEAR), F.floor((high - 1) / NEAR))).alias("near"))
-        return w.select("recording_id", "at", "form", F.floor(F.col("at") / NEAR).alias("near")).join(p, ["recording_id", "near"]).where("at >= low AND at < high").select(*KEYS, "at", "form", F.lit(x).alias("side"))
+        return w.select("recording_id", "at", "form", F.floor(F.col("at") / NEAR).alias("near")).join(p.hint("shuffle_hash"), ["recording_id", "near"]).where("at >= low AND at < high").select(*KEYS, "at", "form", F.lit(x).alias("side"))
 
-    both = side(a, "a").unionByName(side(b, "b")).groupBy(*KEYS)
-    out = both.applyInPandas(_compared, f"recording_id {kind}, i long, j long, n long")
+    out = in_order(side(a, "a").unionByName(side(b, "b")), KEYS, ["side", "at"], _compared, f"recording_id {kind}, i long, j long, n long")
     for x in found:
         out = out.unionByName(x)
     return out
 
 
-def _compared(rows: pd.DataFrame) -> pd.DataFrame:
-    rows = rows.sort_values("at")
-    x, y = rows[rows.side == "a"], rows[rows.side == "b"]
-    made = SequenceMatcher(a=x.form.tolist(), b=y.form.tolist(), autojunk=False).get_matching_blocks()[:-1]
-    i, j = (int(s["at"].iloc[0]) if len(s) else 0 for s in (x, y))
-    return pd.DataFrame([(rows.recording_id.iloc[0], m.a + i, m.b + j, m.size) for m in made], columns=["recording_id", "i", "j", "n"])
+def common_runs(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int, int]]:
+    """(i, j, n) of the common runs of two sides' codes that the rule takes: those of difflib's SequenceMatcher without junk.
+
+    Equal words in a row on a diagonal are one maximal run, found once; each stretch looks at the runs that reach into it."""
+    order = np.argsort(b, kind="stable")
+    low, high = (np.searchsorted(b[order], a, side) for side in ("left", "right"))
+    n = high - low
+    if n.sum() > PAIRS:
+        return [(m.a, m.b, m.size) for m in SequenceMatcher(a=a.tolist(), b=b.tolist(), autojunk=False).get_matching_blocks()[:-1]]
+    i = np.repeat(np.arange(len(a)), n)
+    j = order[np.arange(len(i)) + np.repeat(low - (np.cumsum(n) - n), n)]
+    place = np.sort((i - j + len(b)) * (len(a) + 1) + i)
+    first = np.flatnonzero(np.diff(place, prepend=-2) != 1)
+    i = place[first] % (len(a) + 1)
+    j = i - (place[first] // (len(a) + 1) - len(b))
+    open_, out = [(0, len(a), 0, len(b), i, j, np.diff(first, append=len(place)))], []
+    while open_:
+        alo, ahi, blo, bhi, i, j, n = open_.pop()
+        cut = np.maximum(np.maximum(alo - i, blo - j), 0)
+        n = np.minimum(np.minimum(n, ahi - i), bhi - j) - cut
+        inside = n > 0
+        i, j, n = (i + cut)[inside], (j + cut)[inside], n[inside]
+        if not len(n):
+            continue
+        most = int(n.max())
+        at = np.flatnonzero(n == most)
+        best = at[np.lexsort((j[at], i[at]))[0]] if len(at) > 1 else at[0]
+        x, y = int(i[best]), int(j[best])
+        out.append((x, y, most))
+        if x > alo and y > blo:
+            on = (i < x) & (j < y)
+            open_.append((alo, x, blo, y, i[on], j[on], n[on]))
+        if x + most < ahi and y + most < bhi:
+            on = (i + n > x + most) & (j + n > y + most)
+            open_.append((x + most, ahi, y + most, bhi, i[on], j[on], n[on]))
+    return out
+
+
+def _compared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pieces of up to MOST words on both sides, each side in order, to the common runs of each."""
+    for t in whole_keys(batches, KEYS):
+        code = pc.dictionary_encode(t.column("form"), null_encoding="encode").combine_chunks().indices.to_numpy()
+        at, base = t.column("at").to_numpy(), pc.equal(t.column("side"), "a").to_numpy()
+        first = starts(t, KEYS)
+        out, found = [], []
+        for lo, hi in zip(first, [*first[1:], len(t)], strict=True):
+            mid = lo + int(base[lo:hi].sum())
+            if lo < mid < hi:
+                made = common_runs(code[lo:mid], code[mid:hi])
+                found += [lo] * len(made)
+                out += [(m[0] + at[lo], m[1] + at[mid], m[2]) for m in made]
+        i, j, n = np.array(out, np.int64).reshape(-1, 3).T
+        yield pa.RecordBatch.from_arrays([t.column("recording_id").combine_chunks().take(pa.array(found, pa.int64())), pa.array(i), pa.array(j), pa.array(n)], ["recording_id", "i", "j", "n"])
 
 
 def regions(found: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -152,12 +206,23 @@ def regions(found: DataFrame, sizes: DataFrame) -> DataFrame:
     return b.select("recording_id", F.inline(both)).where("tag IS NOT NULL")
 
 
-def _context(regions: DataFrame, words: DataFrame, low: Column, high: Column, name: str) -> DataFrame:
-    """(recording_id, i1, j1, name): the words of a region and AROUND on both sides."""
-    at = regions.select("recording_id", "i1", "j1", F.explode(F.sequence(F.greatest(low.cast("long") - AROUND, F.lit(0).cast("long")), high.cast("long") + AROUND - 1)).alias("at"))
-    w = at.join(words.select("recording_id", "at", "word"), ["recording_id", "at"])
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "word"))), lambda x: x["word"]), " ")
-    return w.groupBy("recording_id", "i1", "j1").agg(text.alias(name))
+def _around(regions: DataFrame, words: DataFrame, low: Column, high: Column, name: str) -> DataFrame:
+    """(recording_id, i1, j1, name, start): the words of a region that differs and AROUND on both sides, and the start of the word at `low`.
+    Regions meet the stretches of NEAR words that they reach into, each of which is one row."""
+    differs = F.col("tag") != "equal"
+    near = lambda x: F.floor(x / NEAR)
+    begin, end = F.greatest(low.cast("long") - AROUND, F.lit(0).cast("long")), high.cast("long") + AROUND
+    r = regions.select("recording_id", "i1", "j1", differs.alias("differs"), low.cast("long").alias("low"), begin.alias("begin"), end.alias("end"))
+    r = r.withColumn("near", F.explode(F.when(F.col("differs"), F.sequence(near(F.col("begin")), near(F.col("end") - 1))).otherwise(F.array(near(F.col("low"))))))
+    packed = words.groupBy("recording_id", near(F.col("at")).alias("near")).agg(F.array_sort(F.collect_list(F.struct("at", "word", "start_time"))).alias("w"))
+    packed = packed.select("recording_id", "near", F.col("w.word").alias("words"), F.col("w.start_time").alias("starts"))
+    place = F.col("near") * NEAR
+    first, last = F.greatest(F.col("begin") - place, F.lit(0).cast("long")).cast("int"), F.least(F.col("end") - place, F.lit(NEAR).cast("long")).cast("int")
+    text = F.when(F.col("differs"), F.slice("words", first + 1, last - first))
+    start = F.when(near(F.col("low")) == F.col("near"), F.get("starts", (F.col("low") - place).cast("int")))
+    met = r.join(packed.hint("shuffle_hash"), ["recording_id", "near"]).select("recording_id", "i1", "j1", "near", text.alias("text"), start.alias("start"))
+    texts = F.flatten(F.transform(F.array_sort(F.collect_list(F.when(F.col("text").isNotNull(), F.struct("near", "text")))), lambda x: x["text"]))
+    return met.groupBy("recording_id", "i1", "j1").agg(F.array_join(texts, " ").alias(name), F.max("start").alias("start"))
 
 
 def aligned(base: DataFrame, run: DataFrame, most: int = MOST) -> DataFrame:
@@ -171,10 +236,12 @@ def aligned(base: DataFrame, run: DataFrame, most: int = MOST) -> DataFrame:
     zero = F.lit(0).cast("long")
     sizes = count(a, "n_a").join(count(b, "n_b"), "recording_id", "full").select("recording_id", F.coalesce("n_a", zero).alias("n_a"), F.coalesce("n_b", zero).alias("n_b"))
     found = kept(regions(matching_blocks(a, b, most), sizes), "regions")
-    differ = found.where("tag <> 'equal'")
     i1, i2, j1, j2 = map(F.col, ("i1", "i2", "j1", "j2"))
-    out = found.join(_context(differ, a, i1, i2, "base_context"), ["recording_id", "i1", "j1"], "left").join(_context(differ, b, j1, j2, "run_context"), ["recording_id", "i1", "j1"], "left")
-    out = out.withColumn("place", F.col("i1").cast("long")).join(a.select("recording_id", F.col("at").alias("place"), "start_time"), ["recording_id", "place"], "left")
-    out = out.join(a.groupBy("recording_id").agg(F.max_by("end_time", "at").alias("last")), "recording_id", "left")
+    side_a = _around(found, a, i1, i2, "base_context").withColumnRenamed("start", "start_time")
+    side_b = _around(found.where("tag <> 'equal'"), b, j1, j2, "run_context").drop("start")
+    out = found
+    for side in (side_a, side_b):
+        out = out.join(side.hint("shuffle_hash"), ["recording_id", "i1", "j1"], "left")
+    out = out.join(a.groupBy("recording_id").agg(F.max_by("end_time", "at").alias("last")).hint("shuffle_hash"), "recording_id", "left")
     text = lambda c: F.when(F.col("tag") == "equal", "").otherwise(F.coalesce(c, F.lit(""))).alias(c)
     return out.select("recording_id", "tag", "i1", "i2", "j1", "j2", F.coalesce("start_time", "last", F.lit(0.0)).alias("at"), text("base_context"), text("run_context"))

@@ -60,4 +60,4 @@ def running(rows: DataFrame, key: str, order: str, what: Column, zero: Column) -
     greater = lambda a, x: F.greatest(a, x)
     states = exclusive(most, key, zero, greater, greater)
     earlier = Window.partitionBy(key, "place").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return rows.withColumn("_own", F.max(what).over(earlier)).join(states, [key, "place"]).withColumn("before", F.greatest("before", "_own")).drop("_own")
+    return rows.withColumn("_own", F.max(what).over(earlier)).join(states.hint("merge"), [key, "place"]).withColumn("before", F.greatest("before", "_own")).drop("_own")

@@ -2,6 +2,7 @@ import random
 import re
 from difflib import SequenceMatcher
 
+import numpy as np
 import pytest
 
 from cuelark.operators import alignment, analysis
@@ -75,3 +76,18 @@ def test_empty_tables(spark):
     assert [tuple(r)[:7] for r in analysis.aligned(none, some).collect()] == [("r", "insert", 0, 0, 0, 2, 0.0)]
     assert [tuple(r)[:7] for r in analysis.aligned(some, none).collect()] == [("r", "delete", 0, 2, 0, 0, 0.0)]
     assert analysis.alignment_summary(analysis.aligned(some, none)).first().base_words == 2
+
+
+def test_nothing_that_grows_with_the_words_goes_through_the_driver(spark):
+    base, run = corpus()
+    plan = alignment.aligned(spark.createDataFrame(base, WORDS), spark.createDataFrame(run, WORDS))._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_common_runs_are_those_of_difflib():
+    r = random.Random(5)
+    for k in range(300):
+        a, b = ([r.randrange(1 + k % 30) for _ in range(r.randrange(90))] for _ in range(2))
+        want = SequenceMatcher(a=a, b=b, autojunk=False).get_matching_blocks()
+        got = {(i + x, j + x) for i, j, n in alignment.common_runs(np.array(a, int), np.array(b, int)) for x in range(n)}
+        assert got == {(m.a + x, m.b + x) for m in want for x in range(m.size)}
