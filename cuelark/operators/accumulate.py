@@ -6,12 +6,17 @@ that can still match a new one, the pending words, the last final time and the s
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..functions.words import CUTSET
+from .sorted_runs import in_order
 
 END_TOLERANCE, TIMING_TOLERANCE, LOOK_BACK = 0.05, 0.35, 1.0
 PARTIAL, FINAL = "partial", "final_words"
@@ -27,6 +32,7 @@ class State:
     finalised: bool = False
 
 
+@lru_cache(maxsize=2**16)
 def form(word: str) -> str:
     return word.strip(CUTSET).strip().lower()
 
@@ -54,7 +60,7 @@ def accepted(state: State, words) -> list[tuple[str, float, float]]:
             if seen[2] < start - LOOK_BACK:
                 out.append((word, start, end))
                 break
-            if form(seen[0]) == form(word) and abs(seen[1] - start) <= TIMING_TOLERANCE and abs(seen[2] - end) <= TIMING_TOLERANCE:
+            if abs(seen[1] - start) <= TIMING_TOLERANCE and abs(seen[2] - end) <= TIMING_TOLERANCE and form(seen[0]) == form(word):
                 break
         else:
             out.append((word, start, end))
@@ -80,39 +86,90 @@ def apply_event(state: State, kind: str, sequence: int, up_to: float, words) ->
     return new, None
 
 
-def full_words(words) -> list[tuple[str, float, float]]:
+def full_words(texts, starts, ends) -> list[tuple[str, float, float]]:
     """An event's words as tuples, without those that lack a text, a start or an end."""
-    rows = [(w["word"], w["start_time"], w["end_time"]) for w in words] if words is not None else []
-    return [w for w in rows if not any(x is None or x != x for x in w)]
+    if texts is None:
+        return []
+    return [w for w in zip(texts, starts, ends, strict=True) if not any(x is None or x != x for x in w)]
 
 
 COMMITTED = "arrival long, sequence long, position int, word string, start_time double, end_time double, last_final double, error string, pending string"
-
-
-def applied(state: State, rows: pd.DataFrame, key) -> pd.DataFrame:
-    """Rows of one session in the order of arrival, which alone counts: sequences are checked against what came before, unless
-    rows say in `error` what that check has found. A null sequence is not checked. Words without a text, a start or an end
-    do not count. One row for each committed word, for each error, and for each partial event with what is then pending."""
-    out, known = [], "error" in rows.columns
-    for r in rows.sort_values("arrival", kind="stable").itertuples(index=False):
-        words = full_words(r.words)
-        at, sequence = state.n_committed, -1 if pd.isna(r.sequence) else int(r.sequence)
-        if known and not pd.isna(r.error):
-            new, error = [], r.error
-        else:
-            new, error = apply_event(state, r.type, -1 if known else sequence, 0.0 if pd.isna(r.up_to) else float(r.up_to), words)
-        out += [(key, r.arrival, sequence, at + k, *w, state.last_final, None, None) for k, w in enumerate(new)]
-        if error or r.type == PARTIAL:
-            out.append((key, r.arrival, sequence, None, None, None, None, state.last_final, error, " ".join(w[0] for w in state.pending)))
-    return pd.DataFrame(out, columns=["key", *[c.split()[0] for c in COMMITTED.split(", ")]]).astype({"position": "Int32"})
-
-
-def folded(rows: pd.DataFrame, key: str) -> pd.DataFrame:
-    """All events of one session."""
-    return applied(State(), rows, rows[key].iloc[0]).rename(columns={"key": key})
+EVENT = ("arrival", "type", "sequence", "up_to", "error", "texts", "starts", "ends")
+
+
+def flat(events: DataFrame, *more: str) -> DataFrame:
+    """Events with the columns of EVENT behind `more`: the words as three arrays, and `error` null where it is not known."""
+    error = F.col("error") if "error" in events.columns else F.lit(None).cast("string").alias("error")
+    words = [F.col(f"words.{x}").alias(y) for x, y in (("word", "texts"), ("start_time", "starts"), ("end_time", "ends"))]
+    number = [F.col("arrival").cast("long").alias("arrival"), "type", F.col("sequence").cast("long").alias("sequence"), F.col("up_to").cast("double").alias("up_to")]
+    return events.select(*more, *number, error, *words)
+
+
+def applied(state: State, rows: Iterable[tuple], known: bool = False) -> Iterator[tuple]:
+    """EVENT rows of one session in the order of arrival, which alone counts, to COMMITTED rows: sequences are checked against
+    what came before, unless rows say in `error` what that check has found (known). A null sequence is not checked. Words without a
+    text, a start or an end do not count. One row for each committed word, for each error, and for each partial event with what is then pending."""
+    for arrival, kind, sequence, up_to, error, texts, starts, ends in rows:
+        at, sequence, new = state.n_committed, -1 if sequence is None or sequence != sequence else int(sequence), []
+        if not (known and error is not None):
+            new, error = apply_event(state, kind, -1 if known else sequence, 0.0 if up_to is None or up_to != up_to else float(up_to), full_words(texts, starts, ends))
+        for k, (word, start, end) in enumerate(new):
+            yield arrival, sequence, at + k, word, start, end, state.last_final, None, None
+        if error or kind == PARTIAL:
+            yield arrival, sequence, None, None, None, None, state.last_final, error, " ".join([w[0] for w in state.pending])
+
+
+def event_rows(batch: pa.RecordBatch) -> Iterator[tuple]:
+    """The columns of EVENT of a batch as rows."""
+    def lists(name: str) -> Iterator[list | None]:
+        column = batch.column(name)
+        sizes, values, at = pc.list_value_length(column).to_pylist(), column.flatten().to_pylist(), 0
+        for n in sizes:
+            yield None if n is None else values[at : at + n]
+            at += n or 0
+
+    return zip(*[batch.column(c).to_pylist() for c in EVENT[:5]], *[lists(c) for c in EVENT[5:]], strict=True)
+
+
+_TYPES = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "double": pa.float64()}
+ROWS = 2**15  # rows that a fold puts out together
+
+
+def folded(keys: list[str], begin: Callable[..., State], known: bool = False, end: Callable[[State], tuple] | None = None, more: tuple[str, ...] = ()):
+    """Batches of sorted events, to (keys, COMMITTED): a fold over each key from the state that `begin` makes of the key's first
+    values of `more`. What is held is a state and a batch, however long a session is. With `end`, a row of it behind each key."""
+    names = [*keys, *[c.split()[0] for c in COMMITTED.split(", ")]]
+    n = len(keys)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out, key, state, kinds = [], None, None, None
+
+        def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+            columns = zip(*rows, strict=True)
+            return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)], names)
+
+        for batch in batches:
+            kinds = [*[batch.schema.field(k).type for k in keys], *[_TYPES[c.split()[1]] for c in COMMITTED.split(", ")]]
+            first = zip(*[batch.column(c).to_pylist() for c in (*keys, *more)], strict=True)
+            for values, row in zip(first, event_rows(batch), strict=True):
+                if state is None or values[:n] != key:
+                    if state is not None and end:
+                        out.append((*key, *end(state)))
+                    key, state = values[:n], begin(*values[n:])
+                for made in applied(state, (row,), known):
+                    out.append((*key, *made))
+                if len(out) >= ROWS:
+                    yield batch_of(out)
+                    out = []
+        if state is not None and end:
+            out.append((*key, *end(state)))
+        if out:
+            yield batch_of(out)
+
+    return run
 
 
 def accumulated(events: DataFrame, key: str = "session_id") -> DataFrame:
     """(key, arrival, type, sequence, up_to, words array<struct<word, start_time, end_time>>) to committed words, previews and errors."""
     kind = events.schema[key].dataType.simpleString()
-    return events.groupBy(key).applyInPandas(lambda rows: folded(rows, key), f"{key} {kind}, {COMMITTED}")
+    return in_order(flat(events.drop("error"), key), [key], ["arrival"], folded([key], State), f"{key} {kind}, {COMMITTED}")

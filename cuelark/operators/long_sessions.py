@@ -17,16 +17,14 @@ the accepted ones, or an event's words are not in the order of their ends; sessi
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.words import not_blank, same_word_form
 from ..sources.tables import kept
-from .accumulate import COMMITTED, END_TOLERANCE, FINAL, PARTIAL, TIMING_TOLERANCE, State, applied
+from .accumulate import COMMITTED, END_TOLERANCE, FINAL, PARTIAL, TIMING_TOLERANCE, State, flat, folded
 from .scan import blocks, exclusive, running
+from .sorted_runs import in_order
 
 SLICE = 16.0  # seconds of a slice in which cuts meet words
 WIDEST = 64.0  # seconds between low and high beyond which no cut is tried
@@ -40,6 +38,7 @@ def checked(events: DataFrame, key: str = "session_id", tasks: int | None = None
     full = F.filter("words", lambda w: w["word"].isNotNull() & ~F.isnan(w["start_time"]) & ~F.isnan(w["end_time"]) & w["start_time"].isNotNull() & w["end_time"].isNotNull())
     up_to = F.nanvl(F.col("up_to").cast("double"), F.lit(None).cast("double"))
     e = events.select(key, "arrival", "type", F.coalesce(F.col("sequence").cast("long"), F.lit(-1).cast("long")).alias("sequence"), up_to.alias("up_to"), full.alias("words"))
+    e = e.withColumn("last_end", F.array_max(F.transform("words", lambda w: w["end_time"])))  # so that what asks for it alone reads no words
     seen = F.when(F.col("sequence") >= 0, F.struct("sequence", F.coalesce(F.col("type") == FINAL, F.lit(False)).alias("final")))
     e = running(blocks(e, key, "arrival", tasks=tasks), key, "arrival", seen, F.struct(F.lit(-1).cast("long").alias("sequence"), F.lit(False).alias("final")))
     said = F.col("sequence").cast("string")
@@ -52,7 +51,7 @@ def checked(events: DataFrame, key: str = "session_id", tasks: int | None = None
 
 def _last_end(kind: str, up_to: bool) -> Column:
     """The latest word end of accepted events of a kind; with up_to, or their own time."""
-    end = F.array_max(F.transform("words", lambda w: w["end_time"]))
+    end = F.col("last_end")
     return F.when(F.col("error").isNull() & (F.col("type") == kind), F.greatest(end, F.col("up_to")) if up_to else end)
 
 
@@ -90,23 +89,18 @@ def parts(events: DataFrame, key: str = "session_id") -> DataFrame:
     return both.select(key, "place", (F.col("before.cuts") + F.col("value.cuts")).alias("part"), F.coalesce("value.low", "before.low").alias("low"))
 
 
-def _folded(key: str) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        state = State(last_final=float(rows.low.iloc[0]))
-        out = applied(state, rows, rows[key].iloc[0]).rename(columns={"key": key})
-        total = pd.DataFrame({key: rows[key].iloc[:1].to_numpy(), "position": pd.array([state.n_committed], "Int32"), "last_final": [state.last_final], "error": [SUMMARY]})
-        out = pd.concat([out, total.reindex(columns=out.columns).astype({"position": "Int32"})]) if len(out) else total.reindex(columns=out.columns)
-        return out.assign(part=rows.part.iloc[0], total=[False] * (len(out) - 1) + [True])
-
-    return run
+def _total(state: State) -> tuple:
+    """The row behind a part: its count of words and last final time."""
+    return None, None, state.n_committed, None, None, None, state.last_final, SUMMARY, None
 
 
 def accumulated_in_parts(events: DataFrame, key: str = "session_id", tasks: int | None = None) -> DataFrame:
     """The rows of accumulate.accumulated, from parts of sessions that are folded in tasks of their own."""
     e = checked(events, key, tasks)
     kind = events.schema[key].dataType.simpleString()
-    rows = e.join(parts(e, key), [key, "place"]).drop("place")
-    out = kept(rows.groupBy(key, "part").applyInPandas(_folded(key), f"{key} {kind}, {COMMITTED}, part long, total boolean"), "parts")
+    rows = flat(e.join(parts(e, key).hint("merge"), [key, "place"]), key, "part", "low")
+    fold = folded([key, "part"], lambda low: State(last_final=float(low)), known=True, end=_total, more=("low",))
+    out = kept(in_order(rows, [key, "part"], ["arrival"], fold, f"{key} {kind}, part long, {COMMITTED}").withColumn("total", F.col("arrival").isNull()), "parts")
     sums = out.where("total").select(key, F.col("part").alias("place"), F.struct(F.col("position").cast("long").alias("n"), "last_final").alias("value"))
     add = lambda a, x: F.struct((a["n"] + x["n"]).alias("n"), F.greatest(a["last_final"], x["last_final"]).alias("last_final"))
     before = exclusive(sums, key, F.struct(F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("last_final")), add, add)

@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators.accumulate import FINAL, State, apply_event, full_words
-from .transcripts import WORD, given
+from .transcripts import WORD, given, in_arrival
 
 CHUNK = f"session_id string, sequence long, start double, duration double, words array<{WORD}>, processing_ms long, emitted_ms double, received_ms double"
+FLAT = ("sequence", "start", "duration", "texts", "starts", "ends", "processing_ms", "emitted_ms", "received_ms")
 MEASURED = "session_id string, sequence long, start double, duration double, added int, committed long, server_ms long, emitted_ms double, received_ms double, error string"
 SUMMARY = (
     "session_id string, sequence long, chunks long, committed_words long, audio_seconds double, elapsed_seconds double, audio_per_wall_second double, "
@@ -35,9 +36,9 @@ class Measured(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         s, out = State(**json.loads(self.kept.get()[0])) if self.kept.exists() else State(), []
         s.committed = [tuple(w) for w in s.committed]
-        for r in pd.concat(list(rows)).sort_values("sequence", kind="stable").itertuples(index=False):
-            new, error = apply_event(s, FINAL, int(r.sequence), float(r.start) + float(r.duration), full_words(r.words))
-            out.append((key[0], r.sequence, r.start, r.duration, len(new), s.n_committed, int(given(r.processing_ms, 0)), r.emitted_ms, r.received_ms, error))
+        for sequence, start, duration, texts, starts, ends, processing_ms, emitted_ms, received_ms in in_arrival(rows, FLAT, "sequence"):
+            new, error = apply_event(s, FINAL, int(sequence), float(start) + float(duration), full_words(texts, starts, ends))
+            out.append((key[0], sequence, start, duration, len(new), s.n_committed, int(given(processing_ms, 0)), emitted_ms, received_ms, error))
         self.kept.update((json.dumps(s.__dict__),))
         yield pd.DataFrame(out, columns=_columns(MEASURED)).astype({"added": "int32"})
 
@@ -77,6 +78,8 @@ class Summaries(StatefulProcessor):
 
 
 def measured_stream(chunks: DataFrame) -> DataFrame:
+    words = [F.col(f"words.{x}").alias(y) for x, y in (("word", "texts"), ("start_time", "starts"), ("end_time", "ends"))]
+    chunks = chunks.select("*", *words).select("session_id", *FLAT)
     return chunks.groupBy("session_id").transformWithStateInPandas(Measured(), outputStructType=MEASURED, outputMode="Append", timeMode="None")
 
 

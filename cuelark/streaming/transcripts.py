@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions.words import joined
+from ..operators import accumulate
 from ..operators.accumulate import COMMITTED, State, applied
 
 WORD = "struct<word:string,start_time:double,end_time:double>"
@@ -27,6 +28,13 @@ SESSION_OUT = "session_id string, arrival long, type string, sequence long, star
 IDLE_MS = 300_000
 
 
+def in_arrival(rows: Iterator[pd.DataFrame], columns: tuple[str, ...], by: str = "arrival") -> Iterator[tuple]:
+    """A key's rows in order, as tuples. Null numbers may be NaN there."""
+    t = list(rows)
+    t = (t[0] if len(t) == 1 else pd.concat(t)).sort_values(by, kind="stable")
+    return zip(*[t[c].tolist() for c in columns], strict=True)
+
+
 class Accumulate(StatefulProcessor):
     """Session events in, committed words, previews and errors out."""
 
@@ -36,9 +44,9 @@ class Accumulate(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         s = State(**json.loads(self.kept.get()[0])) if self.kept.exists() else State()
         s.committed, s.pending = [tuple(w) for w in s.committed], [tuple(w) for w in s.pending]
-        made = applied(s, pd.concat(list(rows)), key[0])
+        made = [(key[0], *x) for x in applied(s, in_arrival(rows, accumulate.EVENT))]
         self.kept.update((json.dumps(s.__dict__),))
-        yield made.rename(columns={"key": "session_id"})
+        yield pd.DataFrame(made, columns=[c.split()[0] for c in OUT.split(", ")]).astype({"position": "Int32"})
 
     def close(self) -> None:
         pass
@@ -46,7 +54,7 @@ class Accumulate(StatefulProcessor):
 
 def accumulated_stream(events: DataFrame) -> DataFrame:
     """A stream of EVENT rows to a stream of OUT rows."""
-    return events.groupBy("session_id").transformWithStateInPandas(Accumulate(), outputStructType=OUT, outputMode="Append", timeMode="None")
+    return accumulate.flat(events, "session_id").groupBy("session_id").transformWithStateInPandas(Accumulate(), outputStructType=OUT, outputMode="Append", timeMode="None")
 
 
 class Sessions(StatefulProcessor):
