@@ -29,6 +29,7 @@ from .sorted_runs import in_order
 SLICE = 16.0  # seconds of a slice in which cuts meet words
 WIDEST = 64.0  # seconds between low and high beyond which no cut is tried
 CLOSE = 1e-6  # what is closer to a limit than this counts as within it
+SLOT = 8 * TIMING_TOLERANCE  # seconds of the slots that words of a form are joined by
 SUMMARY = "summary"
 
 
@@ -116,29 +117,34 @@ def final_times(events: DataFrame, key: str = "session_id", tasks: int | None =
 
 def committed_by_join(events: DataFrame, key: str = "session_id", tasks: int | None = None) -> DataFrame:
     """(key, arrival, sequence, word, start_time, end_time) of the words that final events commit. A hot session is many keys of
-    the join: its forms, by the slice of TIMING_TOLERANCE that a word ends in."""
+    the join: its forms, by the slot of SLOT seconds that a word ends in; an earlier word is in two where it ends near a border."""
     e = kept(final_times(events, key, tasks).select(key, "arrival", "sequence", F.coalesce("up_to", F.lit(0.0)).alias("up_to"), "words", "last_final"), "finals")
-    w = e.select(key, "arrival", "sequence", "last_final", F.posexplode("words").alias("at", "w")).select(key, "arrival", "sequence", "last_final", "at", "w.word", "w.start_time", "w.end_time")
-    w = w.where(not_blank(F.col("word")))
-    c = kept(w.where(F.col("end_time") > F.col("last_final") + END_TOLERANCE).withColumn("form", same_word_form(F.col("word"))), "candidates")
-    slot = F.floor(F.col("end_time") / TIMING_TOLERANCE)
-    a = c.select(key, "form", "arrival", "at", "start_time", "end_time", slot.alias("slot"))
-    b = c.select(key, "form", *[F.col(x).alias(f"b_{x}") for x in ("arrival", "at", "start_time", "end_time")], F.explode(F.array(slot - 1, slot, slot + 1)).alias("slot"))
+    timely = lambda word, end: not_blank(word) & (end > F.col("last_final") + END_TOLERANCE)
+    w = e.select(key, "arrival", "last_final", F.posexplode("words").alias("at", "w")).where(timely(F.col("w.word"), F.col("w.end_time")))
+    slot, reach = lambda x: F.floor(x / SLOT), TIMING_TOLERANCE + CLOSE
+    c = w.select(key, same_word_form(F.col("w.word")).alias("form"), "arrival", "at", "w.start_time", "w.end_time")
+    a = c.withColumn("slot", slot(F.col("end_time")))
+    b = c.select(key, "form", *[F.col(x).alias(f"b_{x}") for x in ("arrival", "at", "start_time", "end_time")])
+    b = b.withColumn("slot", F.explode(F.array_distinct(F.array(slot(F.col("b_end_time") - reach), slot(F.col("b_end_time") + reach)))))
     near = [F.abs(F.col(x) - F.col(f"b_{x}")) <= TIMING_TOLERANCE for x in ("start_time", "end_time")]
-    pairs = a.join(b, [key, "form", "slot"]).where("b_arrival < arrival OR b_arrival = arrival AND b_at < at").where(near[0] & near[1])
+    pairs = a.join(b.hint("merge"), [key, "form", "slot"]).where("b_arrival < arrival OR b_arrival = arrival AND b_at < at").where(near[0] & near[1])
     pairs = kept(pairs.select(key, "arrival", "at", "b_arrival", "b_at"), "pairs")
     gone = pairs.select(key, "arrival", "at").distinct()
-    stays = kept(c.join(gone, [key, "arrival", "at"], "left_anti"), "staying")
-    chained = pairs.select(key, F.col("b_arrival").alias("arrival"), F.col("b_at").alias("at")).join(gone, [key, "arrival", "at"], "left_semi").select(key)
-    reach = stays.groupBy(key, "arrival").agg(F.max("end_time").alias("reach"))
-    lost = w.join(stays.select(key, "arrival", "at"), [key, "arrival", "at"], "left_anti").groupBy(key, "arrival").agg(F.max("end_time").alias("lost"))
-    outlasting = lost.join(e.select(key, "arrival", "up_to", "last_final"), [key, "arrival"]).join(reach, [key, "arrival"], "left").where(F.col("lost") > F.greatest("up_to", "last_final", "reach")).select(key)
-    falling = F.exists(F.sequence(F.lit(1), F.size("words") - 1), lambda k: F.element_at("words", k + 1)["end_time"] < F.element_at("words", k)["end_time"])
-    unsorted = e.where((F.size("words") > 1) & falling).select(key)
-    hard = kept(chained.unionByName(outlasting).unionByName(unsorted).distinct(), "hard-sessions")
-    columns = [key, "arrival", "sequence", "word", "start_time", "end_time"]
-    plain = stays.join(hard, key, "left_anti").select(*columns)
+    chained = pairs.select(key, F.col("b_arrival").alias("arrival"), F.col("b_at").alias("at")).join(gone.hint("merge"), [key, "arrival", "at"], "left_semi").select(key)
+
+    # each event with the places of its words that went: what stays, and whether the plain rule holds, are told within the row
+    e = e.join(gone.groupBy(key, "arrival").agg(F.collect_list("at").alias("gone")).hint("shuffle_hash"), [key, "arrival"], "left")
+    stays = lambda x, k: timely(x["word"], x["end_time"]) & ~F.coalesce(F.array_contains("gone", k), F.lit(False))
+    last = lambda words: F.array_max(F.transform(words, lambda x: x["end_time"]))
+    taken = F.filter("words", stays)
+    lost = last(F.filter("words", lambda x, k: not_blank(x["word"]) & ~stays(x, k)))
+    ends, pairs_ = F.transform("words", lambda x: x["end_time"]), F.greatest(F.size("words") - 1, F.lit(0))
+    falling = F.exists(F.zip_with(F.slice(ends, F.lit(1), pairs_), F.slice(ends, F.lit(2), pairs_), lambda p, q: q < p), lambda x: x)
+    hard = F.coalesce(lost > F.greatest("up_to", "last_final", last(taken)), F.lit(False)) | F.coalesce(falling, F.lit(False))
+    marked = kept(e.select(key, "arrival", "sequence", taken.alias("words"), hard.alias("hard")), "marked")
+    hard = kept(chained.unionByName(marked.where("hard").select(key)).distinct(), "hard-sessions")
+    stay = marked.select(key, "arrival", "sequence", F.explode("words").alias("w")).select(key, "arrival", "sequence", "w.word", "w.start_time", "w.end_time")
     if hard.isEmpty():
-        return plain
-    folded = accumulated_in_parts(events.join(hard, key, "left_semi"), key, tasks).where("word IS NOT NULL")
-    return plain.unionByName(folded.select(*columns))
+        return stay
+    folded_ = accumulated_in_parts(events.join(hard, key, "left_semi"), key, tasks).where("word IS NOT NULL")
+    return stay.join(hard, key, "left_anti").unionByName(folded_.select(*stay.columns))
