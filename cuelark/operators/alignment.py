@@ -37,16 +37,16 @@ PIECE = "alo long, ahi long, blo long, bhi long"
 KEYS = ["recording_id", "piece"]
 
 
-def placed(words: DataFrame) -> DataFrame:
-    """Words (recording_id, i, word, start_time, end_time) with `at`, their place by (start_time, i), and their form. Long recordings
-    are numbered in many tasks."""
-    b = blocks(words.select("recording_id", "i", "word", "start_time", "end_time"), "recording_id", "start_time", "i")
+def placed(words: DataFrame, *columns: str) -> DataFrame:
+    """Words (recording_id, i, word, start_time, end_time) as `at`, their place by (start_time, i), their form, and the columns named.
+    Long recordings are numbered in many tasks."""
+    b = blocks(words.select("recording_id", "i", *dict.fromkeys(("word", "start_time", *columns))), "recording_id", "start_time", "i")
     n = b.groupBy("recording_id", "place").agg(F.count(F.lit(1)).alias("value"))
     add = lambda a, x: a + x
     before = exclusive(n, "recording_id", F.lit(0).cast("long"), add, add)
     own = F.row_number().over(Window.partitionBy("recording_id", "place").orderBy("start_time", "i")) - 1
     rows = b.withColumn("own", own).join(before.hint("merge"), ["recording_id", "place"])
-    return kept(rows.select("recording_id", (F.col("before") + F.col("own")).alias("at"), "word", "start_time", "end_time", diff_form(F.col("word")).alias("form")), "placed")
+    return kept(rows.select("recording_id", (F.col("before") + F.col("own")).alias("at"), *columns, diff_form(F.col("word")).alias("form")), "placed")
 
 
 def _grams(words: DataFrame, k: int, side: str) -> DataFrame:
@@ -225,17 +225,28 @@ def _around(regions: DataFrame, words: DataFrame, low: Column, high: Column, nam
     return met.groupBy("recording_id", "i1", "j1").agg(F.array_join(texts, " ").alias(name), F.max("start").alias("start"))
 
 
+def _found(base: DataFrame, run: DataFrame, most: int, *columns: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Both sides' placed() words with the columns named, and their regions()."""
+    fill = lambda w: w.withColumn("word", F.coalesce("word", F.lit("")))
+    a, b = placed(fill(base), *columns), placed(fill(run), *columns)
+    count = lambda w, x: w.groupBy("recording_id").agg(F.count(F.lit(1)).alias(x))
+    zero = F.lit(0).cast("long")
+    sizes = count(a, "n_a").join(count(b, "n_b"), "recording_id", "full").select("recording_id", F.coalesce("n_a", zero).alias("n_a"), F.coalesce("n_b", zero).alias("n_b"))
+    return a, b, regions(matching_blocks(a, b, most), sizes)
+
+
+def compared(base: DataFrame, run: DataFrame, most: int = MOST) -> DataFrame:
+    """The regions of aligned() as (recording_id, tag, i1, i2, j1, j2) alone, without looking up times and the words around them."""
+    return _found(base, run, most)[2]
+
+
 def aligned(base: DataFrame, run: DataFrame, most: int = MOST) -> DataFrame:
     """Regions of two runs' words (recording_id, i, word, start_time, end_time): equal, replace, delete or insert, as places
     i1 to i2 of the base and j1 to j2 of the run; `at` is the base's time there (behind its words their last end, 0 without words).
     Regions that differ have the words around them on both sides, the others empty texts. Words count as equal by their
     form; null ones are like no other text than a null one. A recording that one side lacks is one region."""
-    fill = lambda w: w.withColumn("word", F.coalesce("word", F.lit("")))
-    a, b = placed(fill(base)), placed(fill(run))
-    count = lambda w, x: w.groupBy("recording_id").agg(F.count(F.lit(1)).alias(x))
-    zero = F.lit(0).cast("long")
-    sizes = count(a, "n_a").join(count(b, "n_b"), "recording_id", "full").select("recording_id", F.coalesce("n_a", zero).alias("n_a"), F.coalesce("n_b", zero).alias("n_b"))
-    found = kept(regions(matching_blocks(a, b, most), sizes), "regions")
+    a, b, found = _found(base, run, most, "word", "start_time", "end_time")
+    found = kept(found, "regions")
     i1, i2, j1, j2 = map(F.col, ("i1", "i2", "j1", "j2"))
     side_a = _around(found, a, i1, i2, "base_context").withColumnRenamed("start", "start_time")
     side_b = _around(found.where("tag <> 'equal'"), b, j1, j2, "run_context").drop("start")

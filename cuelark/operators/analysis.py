@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.words import is_filler, rounded, up_to
-from .alignment import aligned
+from .alignment import aligned, compared
 
-__all__ = ["aligned", "alignment_summary", "chunk_event_pairs", "edge_words", "run_delta", "session_metrics", "session_totals", "transcript_stats"]
+__all__ = ["aligned", "alignment_summary", "chunk_event_pairs", "compared", "edge_words", "run_delta", "session_metrics", "session_totals", "transcript_stats"]
 EDGE = 10
 
 

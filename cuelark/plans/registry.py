@@ -221,7 +221,8 @@ def word_alignment(spark, sf_dir):
 
 
 def alignment_summary(spark, sf_dir):
-    return analysis.alignment_summary(word_alignment(spark, sf_dir))
+    w = X.words(spark, sf_dir)
+    return analysis.alignment_summary(analysis.compared(X.baseline(w), w))
 
 
 QUERIES = [

@@ -91,3 +91,15 @@ def test_common_runs_are_those_of_difflib():
         want = SequenceMatcher(a=a, b=b, autojunk=False).get_matching_blocks()
         got = {(i + x, j + x) for i, j, n in alignment.common_runs(np.array(a, int), np.array(b, int)) for x in range(n)}
         assert got == {(m.a + x, m.b + x) for m in want for x in range(m.size)}
+
+
+def test_compared_regions_equal_the_plain_rule(spark):
+    base, run = corpus()
+    got = alignment.compared(spark.createDataFrame(base, WORDS), spark.createDataFrame(run, WORDS)).collect()
+    assert sorted(tuple(r) for r in got) == [r[:6] for r in plain(base, run)]
+
+
+def test_alignment_summary_looks_up_no_words_around(spark):
+    registry = pytest.importorskip("cuelark.plans.registry")
+    plan = registry.alignment_summary(spark, "/root/testdata/sf0.001")._jdf.queryExecution().analyzed().toString()
+    assert "base_words" in plan and "context" not in plan
